@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.mainhtml import extract_main_text
 from tidemark.llm.mixing import mix_sources
-from tidemark.llm.shared import table, word_count
+from tidemark.llm.quality import STATISTICS, apply_quality_rules, fit_quality_rules, text_statistics
+from tidemark.llm.shared import cut, table, word_count
 from tidemark.llm.sharding import shard_groups
+from tidemark.llm.tiff import text_media
 
 SHARDS = 40
 
@@ -25,12 +28,34 @@ def op1_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def base_failed() -> Column:
+    """The fixed base of the quality rules: under 50 words, or more than half of them in repeated windows."""
+    return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of every document, the base's verdict, and the verdict of the decision list learned from ``labels``."""
+    statistics = cut(text_statistics(table(spark, sf_dir, "documents"), ["doc_id"]))
+    rules = fit_quality_rules(statistics, table(spark, sf_dir, "labels"))
+    return apply_quality_rules(statistics, rules, base_failed()).select("doc_id", *STATISTICS, "base_failed", "kept", "rule")
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed by their sources' weights 1, 2, 3 in turn, at most 3 epochs of any source."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("size"))
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+def op9_text_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's bytes as the samples of a TIFF file, stored, read back and described."""
+    return text_media(table(spark, sf_dir, "documents"))
+
+
 OP6_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -66,7 +91,10 @@ FROM ordered
 
 QUERIES = {
     "op1_shard_best_fit": op1_shard_best_fit,
+    "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
+    "op7_main_text": op7_main_text,
+    "op9_text_media": op9_text_media,
 }
 
 ORACLES = {"op6_mix_sources": OP6_SQL}
