@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.mainhtml import extract_main_text
 from tidemark.llm.mixing import mix_sources
+from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import STATISTICS, apply_quality_rules, fit_quality_rules, text_statistics
 from tidemark.llm.shared import cut, table, word_count
 from tidemark.llm.sharding import shard_groups
@@ -28,6 +30,23 @@ def op1_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines, those removed, and a digest of what is left (of the empty text for null)."""
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
+
+
 def base_failed() -> Column:
     """The fixed base of the quality rules: under 50 words, or more than half of them in repeated windows."""
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -88,13 +107,38 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
+OP4_SQL = r"""
+WITH numbered AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
+lines AS (SELECT * FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS at FROM lines GROUP BY line),
+near AS (
+  SELECT DISTINCT a.line FROM firsts a JOIN firsts b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND a.n >= 20 AND b.n >= 20 AND b.at < a.at
+    AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
+      OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))
+  WHERE len(list_filter(range(0, greatest(a.n, b.n)), lambda i: left(a.line, i) = left(b.line, i) AND
+    CASE WHEN a.n >= b.n THEN substr(a.line, i + 2) ELSE substr(a.line, i + 1) END = CASE WHEN b.n >= a.n THEN substr(b.line, i + 2) ELSE substr(b.line, i + 1) END)) > 0),
+judged AS (
+  SELECT l.doc_id, l.line_no, ({'d': l.doc_id, 'l': l.line_no} <> f.at OR n.line IS NOT NULL) AS gone
+  FROM lines l JOIN firsts f ON f.line = l.line LEFT JOIN near n ON n.line = l.line),
+kept AS (
+  SELECT x.doc_id, string_agg(x.line, chr(10) ORDER BY x.line_no) AS kept
+  FROM numbered x LEFT JOIN judged j ON j.doc_id = x.doc_id AND j.line_no = x.line_no
+  WHERE NOT coalesce(j.gone, false) GROUP BY x.doc_id)
+SELECT d.doc_id, coalesce(c.n_lines, 0)::BIGINT AS n_lines, coalesce(c.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed FROM judged GROUP BY doc_id) c ON c.doc_id = d.doc_id
+"""
+
 
 QUERIES = {
     "op1_shard_best_fit": op1_shard_best_fit,
+    "op2_pack_sequences": op2_pack_sequences,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
     "op7_main_text": op7_main_text,
     "op9_text_media": op9_text_media,
 }
 
-ORACLES = {"op6_mix_sources": OP6_SQL}
+ORACLES = {"op4_line_dedup": OP4_SQL, "op6_mix_sources": OP6_SQL}
