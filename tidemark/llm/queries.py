@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import format_preferences
+from tidemark.llm.jaccard import jaccard_components
 from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.mainhtml import extract_main_text
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import STATISTICS, apply_quality_rules, fit_quality_rules, text_statistics
+from tidemark.llm.repeats import remove_repeats
 from tidemark.llm.shared import cut, table, word_count
 from tidemark.llm.sharding import shard_groups
 from tidemark.llm.tiff import text_media
@@ -41,6 +44,17 @@ def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_sequences(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def spans_text(spans: str) -> Column:
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations as preference pairs: an even conv_id is chosen over the odd one that follows it."""
+    turns = table(spark, sf_dir, "conversations").select(F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
+    pairs = format_preferences(turns)
+    return pairs.select("pair_id", "status", "n_common", "prompt", "chosen", "rejected", spans_text("chosen_spans").alias("chosen_spans"), spans_text("rejected_spans").alias("rejected_spans"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those removed, and a digest of what is left (of the empty text for null)."""
     docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -70,11 +84,22 @@ def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 20-word windows that also start earlier; a digest of what is left."""
+    docs = remove_repeats(table(spark, sf_dir, "documents"), 20)
+    return docs.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_text_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's bytes as the samples of a TIFF file, stored, read back and described."""
     return text_media(table(spark, sf_dir, "documents"))
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component by links of 0.9 or more between sets of 3-word shingles."""
+    return jaccard_components(table(spark, sf_dir, "documents"), width=3, num=90, den=100)
+
+
 OP6_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
@@ -134,11 +159,43 @@ LEFT JOIN (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_remov
 QUERIES = {
     "op1_shard_best_fit": op1_shard_best_fit,
     "op2_pack_sequences": op2_pack_sequences,
+    "op3_preference_format": op3_preference_format,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_mix_sources": op6_mix_sources,
     "op7_main_text": op7_main_text,
+    "op8_remove_repeats": op8_remove_repeats,
     "op9_text_media": op9_text_media,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
-ORACLES = {"op4_line_dedup": OP4_SQL, "op6_mix_sources": OP6_SQL}
+OP3_SQL = r"""
+WITH turns AS (
+  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS is_chosen, turn, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY pair_id, is_chosen ORDER BY turn NULLS FIRST, role, text) AS i FROM turns),
+matched AS (
+  SELECT a.pair_id, a.i, a.role = b.role AND a.text = b.text AS same FROM numbered a JOIN numbered b ON a.pair_id = b.pair_id AND a.i = b.i AND a.is_chosen AND NOT b.is_chosen),
+common AS (SELECT pair_id, coalesce(min(i) FILTER (NOT same) - 1, max(i)) AS n FROM matched GROUP BY pair_id),
+sized AS (
+  SELECT n.*, coalesce(c.n, 0) AS n_common, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS shown,
+    length(role) + 5 AS head, length(text) + 7 AS body
+  FROM numbered n LEFT JOIN common c ON c.pair_id = n.pair_id),
+placed AS (
+  SELECT *, coalesce(sum(head + body + 1) OVER (PARTITION BY pair_id, is_chosen, i > n_common ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM sized),
+sides AS (
+  SELECT pair_id, is_chosen, max(i) AS turns, max(n_common)::INTEGER AS n_common,
+    coalesce(string_agg(shown, '' ORDER BY i) FILTER (i <= n_common), '') AS prompt,
+    coalesce(string_agg(shown, '' ORDER BY i) FILTER (i > n_common), '') AS rest,
+    coalesce(string_agg((pos + head)::BIGINT || ':' || (pos + head + body)::BIGINT, ',' ORDER BY i) FILTER (i > n_common AND role = 'assistant'), '') AS spans
+  FROM placed GROUP BY pair_id, is_chosen)
+SELECT coalesce(a.pair_id, b.pair_id)::BIGINT AS pair_id,
+  CASE WHEN a.pair_id IS NULL THEN 'no_chosen' WHEN b.pair_id IS NULL THEN 'no_rejected' WHEN a.rest = '' AND b.rest = '' THEN 'identical'
+       WHEN a.rest = '' OR b.rest = '' THEN 'prefix' ELSE 'pair' END AS status,
+  coalesce(a.n_common, b.n_common)::INTEGER AS n_common, coalesce(a.prompt, b.prompt) AS prompt, a.rest AS chosen, b.rest AS rejected, a.spans AS chosen_spans, b.spans AS rejected_spans
+FROM (SELECT * FROM sides WHERE is_chosen) a FULL JOIN (SELECT * FROM sides WHERE NOT is_chosen) b ON a.pair_id = b.pair_id
+"""
+
+
+ORACLES = {"op3_preference_format": OP3_SQL, "op4_line_dedup": OP4_SQL, "op6_mix_sources": OP6_SQL}
