@@ -13,10 +13,15 @@ NEAR_CHARS = 20
 HALF_KEYS = ["_a", "_b", "_c", "_d"]
 
 
+def _has_word(line: Column) -> Column:
+    """Something is left without leading ASCII white space; cheaper than a pattern, which would decode the line."""
+    return F.ltrim(line, F.lit(" \t\n\x0b\x0c\r")) != ""
+
+
 def _lines(docs: DataFrame) -> DataFrame:
     """Lines that have a word, by document and number."""
     split = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    return split.where(F.col("line").rlike(r"[^\x20\x09-\x0D]"))
+    return split.where(_has_word(F.col("line")))
 
 
 def _with_key(lines: DataFrame) -> DataFrame:
@@ -40,13 +45,20 @@ def _half_keys(line: Column, length: Column) -> list[Column]:
 
 def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     """Keys of distinct lines that are one edit from a line which comes earlier, with that line's place."""
-    halves = distinct.where(F.col("_len") >= NEAR_CHARS).select("_k1", "_k2", "_len", "_at", F.explode(F.array(*HALF_KEYS)).alias("_half"))
+    near = distinct.where(F.col("_len") >= NEAR_CHARS)
+    halves = near.select("_k1", "_k2", "_len", "_at", F.explode(F.array(*[F.struct(F.col(c).alias("key"), F.lit(k % 2).alias("last")) for k, c in enumerate(HALF_KEYS)])).alias("_h"))
+    halves = halves.select("_k1", "_k2", "_len", "_at", F.col("_h.key").alias("_half"), F.col("_h.last").alias("_last"))
     shared = cut(halves.groupBy("_half").agg(F.min("_k1").alias("_lo"), F.max("_k1").alias("_hi")).where("_lo < _hi").select("_half"))
     n_shared = shared.count()
-    chosen = attach(halves, shared, "_half", n_shared, "left_semi").select("_k1", "_k2", "_len", "_at").distinct()
+    chosen = attach(halves, shared, "_half", n_shared, "left_semi").groupBy("_k1", "_k2", "_len", "_at").agg(F.min("_last").alias("_from_first"), F.max("_last").alias("_to_last"))
     chosen = cut(chosen.withColumns({"doc_id": F.col("_at.doc_id"), "line_no": F.col("_at.line_no")}))
-    texts = cut(attach(_lines(docs), chosen, ["doc_id", "line_no"], chosen.count(), "inner").select("_k1", "_k2", "_at", "line", "_len"))
-    variants = texts.select("_k1", "_k2", "_at", "line", F.explode(F.sequence(F.lit(0), F.col("_len"))).alias("_i")).select(
+    texts = cut(attach(_lines(docs), chosen, ["doc_id", "line_no"], chosen.count(), "inner").select("_k1", "_k2", "_at", "line", "_len", "_from_first", "_to_last"))
+    # A shared first half leaves the edit to the second, and the other way round; one position more on either side costs nothing.
+    middle = (F.col("_len") / 2).cast("int")
+    first = F.when(F.col("_to_last") == 0, F.greatest(middle - 1, F.lit(1))).otherwise(F.lit(1))
+    last = F.when(F.col("_from_first") == 1, F.least(middle + 2, F.col("_len"))).otherwise(F.col("_len"))
+    places = F.explode(F.concat(F.array(F.lit(0)), F.sequence(first, last)))
+    variants = texts.select("_k1", "_k2", "_at", "line", places.alias("_i")).select(
         "_k1",
         "_k2",
         "_at",
@@ -55,6 +67,8 @@ def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
         .otherwise(F.xxhash64(F.concat(F.substring(F.col("line"), F.lit(1), F.col("_i") - 1), F.substring(F.col("line"), F.col("_i") + 1, F.length("line")))))
         .alias("_variant"),
     )
+    met = cut(variants.groupBy("_variant").agg(F.min("_k1").alias("_lo"), F.max("_k1").alias("_hi")).where("_lo < _hi").select("_variant"))
+    variants = cut(attach(variants, met, "_variant", met.count(), "left_semi"))
     # Equal variants of one deleted position are one substitution apart; a deletion's variant that is a whole line is one insertion from it.
     swaps = variants.where("_i > 0").groupBy("_variant", "_i").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).where("_first < _last").drop("_last")
     drops = (
@@ -101,7 +115,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed")), lambda i: F.get(lines, i))
     return (
         attach(docs, removed, "doc_id", removed.count())
-        .withColumn("n_lines", F.coalesce(F.size(F.filter(lines, lambda x: x.rlike(r"[^\x20\x09-\x0D]"))), F.lit(0)).cast("long"))
+        .withColumn("n_lines", F.coalesce(F.size(F.filter(lines, _has_word)), F.lit(0)).cast("long"))
         .withColumn("n_removed", F.coalesce(F.size("_removed"), F.lit(0)).cast("long"))
         .withColumn("kept", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
         .drop("_removed")
