@@ -2,40 +2,140 @@
 
 from __future__ import annotations
 
+import json
 import unicodedata
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, number_rows
 
-#: Characters of text that are split into words at once, and words and pieces whose ids a worker remembers.
-CHUNK_CHARS, MOST_WORDS, MOST_PIECES = 1_000_000, 500_000, 400_000
+#: Bytes of text that are split into words at once, and words and pieces whose ids a worker remembers.
+CHUNK_BYTES, MOST_WORDS, MOST_PIECES = 8_000_000, 500_000, 400_000
 
-PLAIN_WORD = regex.compile(r"(\p{L}+)([.,]*)")
+#: A rank that no merge has.
+NO_RANK = np.int64(1 << 40)
+
+
+class PieceMerger:
+    """Byte-level BPE with word ends over many pieces at once, from the vocabulary and merges of a tokenizer file.
+
+    In each round every piece that still can merges its pair of least rank, the leftmost if there are several. A token comes into
+    being by one merge, so a merge that uses it has a greater rank, and this order is the usual one.
+    """
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocab, end = model["vocab"], model["end_of_word_suffix"]
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256
+        hidden = [b for b in range(256) if b not in set(shown)]
+        char = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.inner = np.array([vocab[char[b]] for b in range(256)], dtype=np.int64)
+        self.final = np.array([vocab[char[b] + end] for b in range(256)], dtype=np.int64)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocab[x] << 20 | vocab[y] for x, y in pairs], dtype=np.int64)
+        self.merged = np.array([vocab[x + y] for x, y in pairs], dtype=np.int64)
+        self.bits = max(12, int(len(pairs) * 8).bit_length())
+        self.keys = np.full(1 << self.bits, -1, dtype=np.int64)
+        self.ranks = np.full(1 << self.bits, NO_RANK, dtype=np.int64)
+        slots, self.longest = self._slot(keys).tolist(), 1
+        for rank, (key, slot) in enumerate(zip(keys.tolist(), slots)):
+            steps = 1
+            while self.keys[slot] >= 0:
+                slot, steps = (slot + 1) & ((1 << self.bits) - 1), steps + 1
+            self.keys[slot], self.ranks[slot] = key, rank
+            self.longest = max(self.longest, steps)
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def _rank(self, keys: np.ndarray) -> np.ndarray:
+        slots = self._slot(keys)
+        there = self.keys[slots]
+        ranks = np.where(there == keys, self.ranks[slots], NO_RANK)
+        open_ = np.flatnonzero((there != keys) & (there >= 0))
+        for _ in range(self.longest - 1):
+            if not len(open_):
+                break
+            slots[open_] = (slots[open_] + 1) & ((1 << self.bits) - 1)
+            there = self.keys[slots[open_]]
+            hit = there == keys[open_]
+            ranks[open_[hit]] = self.ranks[slots[open_[hit]]]
+            open_ = open_[~hit & (there >= 0)]
+        return ranks
+
+    def encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, one after the other, and each piece's number of ids; no piece is empty."""
+        sizes = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
+        raw = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        symbols = self.inner[raw]
+        ends = np.cumsum(sizes)
+        symbols[ends - 1] = self.final[raw[ends - 1]]
+        number = np.arange(len(pieces))
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        while len(number):
+            starts = ends - sizes
+            ranks = np.full(len(symbols), NO_RANK)
+            ranks[:-1] = self._rank(symbols[:-1] << 20 | symbols[1:])
+            ranks[ends - 1] = NO_RANK
+            least = np.minimum.reduceat(ranks, starts)
+            going = least < NO_RANK
+            if not going.all():
+                inside = np.repeat(going, sizes)
+                done.append((number[~going], symbols[~inside], sizes[~going]))
+                symbols, ranks, sizes, number, least = symbols[inside], ranks[inside], sizes[going], number[going], least[going]
+                if not len(number):
+                    break
+                ends = np.cumsum(sizes)
+                starts = ends - sizes
+            hits = np.flatnonzero(ranks == np.repeat(least, sizes))
+            first = hits[np.searchsorted(hits, starts)]
+            symbols[first] = self.merged[least]
+            stays = np.ones(len(symbols), dtype=bool)
+            stays[first + 1] = False
+            symbols = symbols[stays]
+            sizes = sizes - 1
+            ends = np.cumsum(sizes)
+        order = np.concatenate([d[0] for d in done])
+        lengths = np.concatenate([d[2] for d in done])
+        flat = np.concatenate([d[1] for d in done])
+        begins = np.cumsum(lengths) - lengths
+        back = np.argsort(order)
+        return flat[gathered(begins[back], lengths[back])], lengths[back]
+
+
+def gathered(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Indices begin, begin + 1, ... of every range, one range after the other."""
+    before = np.cumsum(lengths) - lengths
+    return np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))
 
 
 class WordEncoder:
     """Ids of texts by a word-end BPE tokenizer, remembering the ids of words.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in turn; a word of letters,
-    with full stops or commas behind, is in turn its lower-case letters and those. All else goes through the tokenizer whole.
+    with full stops or commas behind, is in turn its lower-case letters and those. Such pieces are merged many at once; all
+    else goes through the tokenizer itself.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merger = PieceMerger(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _through_tokenizer(self, texts: list[str]) -> list[bytes]:
         """Ids of each of several texts without white space, in one call; a token's place tells its text."""
         if not texts:
             return []
@@ -43,52 +143,62 @@ class WordEncoder:
         ids = np.array(found.ids, dtype=self.kind)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
         at = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
-        bounds = np.searchsorted(at, starts)
-        data, width = ids.tobytes(), self.kind.itemsize
-        return [data[a * width : b * width] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        return self._cut(ids, np.searchsorted(at, starts))
+
+    def _cut(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+        data, marks = ids.astype(self.kind).tobytes(), (bounds * self.kind.itemsize).tolist()
+        return [data[a:b] for a, b in zip(marks[:-1], marks[1:])]
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[str]) -> None:
         if len(self.words) + len(new) > MOST_WORDS:
             self.words.clear()
         if len(self.pieces) > MOST_PIECES:
-            self.pieces.clear()
-        plain: list[tuple[bytes, str, str]] = []
-        whole: list[bytes] = []
-        for word in new:
-            text = word.decode()
-            match = PLAIN_WORD.fullmatch(text)
-            if match and "Σ" not in text and unicodedata.is_normalized("NFC", text):
-                plain.append((word, match[1].lower(), match[2]))
-            else:
-                whole.append(word)
-        missing = list(dict.fromkeys(p for _, *parts in plain for p in parts if p and p not in self.pieces))
-        self.pieces.update(zip(missing, self._encode(missing)))
+            self.pieces = {"": b""}
+        joined = " ".join(new)
+        lower = joined.lower().split(" ")
+        if "\u03a3" in joined or not unicodedata.is_normalized("NFC", joined) or len(lower) != len(new):
+            # One of these words is lowered by its context or composed anew: look at each.
+            lower = ["" if "\u03a3" in w or not unicodedata.is_normalized("NFC", w) else w.lower() for w in new]
+        cores = [w.rstrip(".,") for w in lower]
+        plain = [core.isalpha() for core in cores]
+        stops = [w[len(core) :] for w, core in zip(lower, cores)]
+        parts = {core for core, ok in zip(cores, plain) if ok} | {s for s, ok in zip(stops, plain) if ok}
+        missing = list(parts - self.pieces.keys())
+        if missing:
+            ids, lengths = self.merger.encode([p.encode() for p in missing])
+            self.pieces.update(zip(missing, self._cut(ids, np.concatenate([[0], np.cumsum(lengths)]))))
         get = self.pieces.__getitem__
-        for word, letters, stops in plain:
-            self.words[word] = get(letters) + get(stops) if stops else get(letters)
-        self.words.update(zip(whole, self._encode([w.decode() for w in whole])))
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        for first, last in _chunks(texts):
-            split = [text.encode().split() for text in texts[first:last]]
-            new = set().union(*split) - self.words.keys()
+        self.words.update((w, get(core) + get(stop)) for w, core, stop, ok in zip(new, cores, stops, plain) if ok)
+        other = [w for w, ok in zip(new, plain) if not ok]
+        self.words.update(zip(other, self._through_tokenizer(other)))
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The ids of each text; null is empty. Words are told apart by Arrow, and only distinct ones looked up."""
+        texts = pc.fill_null(texts, "")
+        ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
+        first = 0
+        while first < len(texts):
+            base = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
+            split = pc.ascii_split_whitespace(texts[first:last])
+            words = split.flatten().dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            new = [w for w in distinct if w and w not in self.words]
             if new:
-                known = len(self.words) + len(new) <= MOST_WORDS
-                self._learn(list(new if known else set().union(*split)))
-            get = self.words.__getitem__
-            for words in split:
-                yield np.frombuffer(b"".join(map(get, words)), dtype=self.kind)
-
-
-def _chunks(texts: list[str]) -> Iterator[tuple[int, int]]:
-    first = chars = 0
-    for k, text in enumerate(texts):
-        chars += len(text)
-        if chars >= CHUNK_CHARS:
-            yield first, k + 1
-            first, chars = k + 1, 0
-    if first < len(texts):
-        yield first, len(texts)
+                if len(self.words) + len(new) > MOST_WORDS:
+                    new = [w for w in distinct if w]
+                self._learn(new)
+            get = self.words.get
+            found = [get(w, b"") for w in distinct]
+            ids = np.frombuffer(b"".join(found), dtype=self.kind)
+            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
+            begins = np.cumsum(lengths) - lengths
+            index = words.indices.to_numpy(zero_copy_only=False)
+            out = ids[gathered(begins[index], lengths[index])]
+            bounds = np.concatenate([[0], np.cumsum(lengths[index])])[np.cumsum(np.concatenate([[0], pc.list_value_length(split).to_numpy(zero_copy_only=False)]))]
+            for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                yield out[a:b]
+            first = last
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -111,19 +221,30 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
     A whole window carries its checksum only, a rest its ids as well, because it may be cut again.
     """
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
         for batch in batches:
-            rows = []
-            for doc_id, ids in zip(batch["doc_id"], encode.encode([text or "" for text in batch["text"]])):
-                ids = np.append(ids, np.array([end_id], dtype=ids.dtype))
-                for start in range(0, len(ids), window):
-                    piece = ids[start : start + window]
-                    rows.append((doc_id, start, len(piece), checksum(piece), None if len(piece) == window else piece.tobytes(), len(ids)))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "crc", "ids", "doc_tokens"])
+            at, starts, lengths, crcs, rests, totals = [], [], [], [], [], []
+            for k, ids in enumerate(encode.encode(batch.column("text").cast(pa.string()))):
+                wide = np.empty(len(ids) + 1, dtype="<u4")
+                wide[:-1], wide[-1] = ids, end_id
+                data = wide.tobytes()
+                for start in range(0, len(wide), window):
+                    piece = data[4 * start : 4 * (start + window)]
+                    at.append(k)
+                    starts.append(start)
+                    lengths.append(len(piece) // 4)
+                    crcs.append(zlib.crc32(piece))
+                    rests.append(None if len(piece) == 4 * window else wide[start:].astype(encode.kind).tobytes())
+                    totals.append(len(wide))
+            ids = batch.column("doc_id").take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()), pa.array(crcs, pa.int64()), pa.array(rests, pa.binary()), pa.array(totals, pa.int64())],
+                names=["doc_id", "start", "length", "crc", "ids", "doc_tokens"],
+            )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(split, f"doc_id {kind}, start long, length long, crc long, ids binary, doc_tokens long")
+    return docs.select("doc_id", "text").mapInArrow(split, f"doc_id {kind}, start long, length long, crc long, ids binary, doc_tokens long")
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
