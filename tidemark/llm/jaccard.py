@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
@@ -26,6 +27,12 @@ MOST_FREQUENT = 400_000
 #: Prefix tokens that a pair may have to share, the share of candidates that each further one leaves, and costs in list rows.
 MOST_MATCHES, FALL, VERIFY_COST, PLAIN_FREQUENCY = 4, 0.3, 20.0, 1.5
 
+#: Set keys that a task remembers, to emit copies once.
+MOST_MET = 1_000_000
+
+#: Parts that the rows of a frequent token are dealt over.
+FREQUENT_PARTS = 64
+
 #: Sets on either side of a block that compares the members of a long list.
 BLOCK_ROWS, BLOCK_COLUMNS, BLOCK_TOKENS = 512, 2048, 4096
 
@@ -85,35 +92,46 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, width: int, frequent: dict[str, np.ndarray], num: int, den: int) -> DataFrame:
-    """Prefix tokens of every set: frequent tokens last, else in the order of hashes. Rows: token, key, n, matches."""
+    """Prefix tokens of every set: frequent tokens last, else in the order of hashes. Rows: token, key, n, matches, frequent.
+
+    A task emits a set once, however many copies it meets.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tokens_known, counts_known = shared.value["tokens"], shared.value["counts"]
+        met: set[int] = set()
         for batch in batches:
-            tokens_out, keys, sizes, asked = [], [], [], []
+            tokens_out, keys, sizes, asked, often = [], [], [], [], []
+            if len(met) > MOST_MET:
+                met.clear()
             for tokens in shingle_sets(batch["text"].tolist(), width):
                 n = len(tokens)
                 if not n:
                     continue
                 key = int.from_bytes(hashlib.blake2b(tokens.tobytes(), digest_size=8).digest(), "little", signed=True)
+                if key in met:
+                    continue
+                met.add(key)
                 frequency = np.full(n, PLAIN_FREQUENCY)
+                known = np.zeros(n, dtype=bool)
                 if len(tokens_known):
                     at = np.minimum(np.searchsorted(tokens_known, tokens), len(tokens_known) - 1)
                     known = tokens_known[at] == tokens
                     if known.any():
                         frequency[known] = counts_known[at[known]]
                         order = np.argsort(known, kind="stable")
-                        tokens, frequency = tokens[order], frequency[order]
+                        tokens, frequency, known = tokens[order], frequency[order], known[order]
                 matches, length = prefix_lengths(frequency, num, den)
                 tokens_out.append(tokens[:length].view(np.int64))
                 keys.append(np.full(length, key))
                 sizes.append(np.full(length, n))
                 asked.append(np.full(length, matches))
+                often.append(known[:length])
             if tokens_out:
-                yield pd.DataFrame({"token": np.concatenate(tokens_out), "key": np.concatenate(keys), "n": np.concatenate(sizes), "matches": np.concatenate(asked)})
+                yield pd.DataFrame({"token": np.concatenate(tokens_out), "key": np.concatenate(keys), "n": np.concatenate(sizes), "matches": np.concatenate(asked), "frequent": np.concatenate(often)})
 
-    return docs.select("text").mapInPandas(rows, "token long, key long, n int, matches int")
+    return docs.select("text").mapInPandas(rows, "token long, key long, n int, matches int, frequent boolean")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -211,14 +229,18 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
         tokens = np.concatenate([frequent["tokens"], more["tokens"][unseen]])
         order = np.argsort(tokens)
         frequent = {"tokens": tokens[order], "counts": np.concatenate([frequent["counts"], more["counts"][unseen]])[order]}
-        lists = cut(_list_lengths(_prefixes(docs, width, frequent, num, den)))
-    prefixes = _prefixes(docs, width, frequent, num, den)
-    listed = cut(prefixes.join(lists, "token").distinct())
+    # One exchange: a window counts each list in place. Frequent tokens' lists are long anyway; their rows are dealt over parts.
+    part = F.when(F.col("frequent"), F.pmod("key", F.lit(FREQUENT_PARTS))).otherwise(F.lit(0))
+    prefixes = _prefixes(docs, width, frequent, num, den).withColumn("part", part)
+    together = W.partitionBy("token", "part")
+    counted = prefixes.withColumns({"length": F.count("*").over(together), "lo": F.min("key").over(together), "hi": F.max("key").over(together)})
+    met = counted.where("frequent or lo < hi").withColumn("length", F.when(F.col("frequent"), F.lit(LONG_LIST + 1)).otherwise(F.col("length")))
+    listed = cut(met.select("token", "part", "key", "n", "matches", "length").distinct())
     light = listed.where(F.col("length") <= LONG_LIST)
     other = light.select("token", F.col("key").alias("key_b"), F.col("n").alias("n_b"), F.col("matches").alias("matches_b"))
     fitting = (den * F.least("n", "n_b") >= num * F.greatest("n", "n_b")) & (F.col("key") < F.col("key_b"))
-    met = light.join(other, "token").where(fitting).groupBy("key", "key_b").agg(F.count("*").alias("shared"), F.first(F.least("matches", "matches_b")).alias("asked"))
-    pairs = met.where("shared >= asked").select(F.col("key").alias("a"), F.col("key_b").alias("b"))
+    shared = light.join(other, "token").where(fitting).groupBy("key", "key_b").agg(F.count("*").alias("shared"), F.first(F.least("matches", "matches_b")).alias("asked"))
+    pairs = shared.where("shared >= asked").select(F.col("key").alias("a"), F.col("key_b").alias("b"))
     long = listed.where(F.col("length") > LONG_LIST).select("token", "key", "n")
     pivots = long.groupBy("token").agg(F.min("key").alias("family"))
     members = cut(long.join(pivots, "token").select("family", "key").distinct())
@@ -246,7 +268,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, num: int = 80, den: int
 
 
 def _list_lengths(prefixes: DataFrame) -> DataFrame:
-    """Tokens that the prefixes of two sets or more have. Copies of a set count each; that only makes a list look longer."""
+    """Tokens that the prefixes of two sets or more have. Copies of a set in other tasks count each; that only makes a list look longer."""
     return prefixes.groupBy("token").agg(F.count("*").alias("length"), F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("token", "length")
 
 
