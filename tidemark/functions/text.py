@@ -99,9 +99,13 @@ def characters(text: Column) -> Column:
 
 
 def grams(text: Column, n: int) -> Column:
-    """Distinct character n-grams."""
-    starts = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
-    return F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, F.lit(n))))
+    """Distinct characters (n = 1) or pairs of neighbouring ones (n = 2), in time proportional to the text's length."""
+    found = characters(text)
+    if n == 2:
+        found = F.array_compact(F.zip_with(found, F.slice(found, F.lit(2), F.greatest(F.size(found), F.lit(1))), lambda x, y: F.concat(x, y)))
+    elif n != 1:
+        raise ValueError("grams of one or two characters only")
+    return F.array_distinct(found)
 
 
 def title_similarity(left: Column, right: Column, shortest: int = 4) -> Column:
