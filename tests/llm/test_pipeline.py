@@ -13,7 +13,7 @@ def corpus(spark, tmp_path_factory):
     rows, labels = [], []
     for i in range(160):
         junk = i % 4 == 3
-        text = " ".join(w + "###" for w in say(60).split()) if junk else say(80) + ".\n" + say(30)
+        text = " ".join(w + "###" for w in say(110).split()) if junk else say(80) + ".\n" + say(30)
         rows.append((i, text, "en", f"src{i % 3}", len(text)))
         labels.append((i, 0 if junk else 1, 0))
     base = say(120).split()
