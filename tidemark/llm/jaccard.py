@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected_components
-from tidemark.llm.shared import attach, cut, keep_ids
+from tidemark.llm.shared import attach, cut, freed, keep_ids, python_rows
 from tidemark.llm.shingles import shingle_sets
 
 #: Prefix tokens that more than so many sets share are not joined pair by pair.
@@ -88,7 +88,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             yield shared()
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(sign, f"doc_id {kind}, n long, key long, is_token boolean")
+    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(sign), f"doc_id {kind}, n long, key long, is_token boolean")
 
 
 def _prefixes(docs: DataFrame, width: int, frequent: dict[str, np.ndarray], num: int, den: int) -> DataFrame:
@@ -131,7 +131,7 @@ def _prefixes(docs: DataFrame, width: int, frequent: dict[str, np.ndarray], num:
             if tokens_out:
                 yield pd.DataFrame({"token": np.concatenate(tokens_out), "key": np.concatenate(keys), "n": np.concatenate(sizes), "matches": np.concatenate(asked), "frequent": np.concatenate(often)})
 
-    return docs.select("text").mapInPandas(rows, "token long, key long, n int, matches int, frequent boolean")
+    return python_rows(docs.select("text")).mapInPandas(freed(rows), "token long, key long, n int, matches int, frequent boolean")
 
 
 def _sets(docs: DataFrame, width: int) -> DataFrame:
@@ -143,7 +143,7 @@ def _sets(docs: DataFrame, width: int) -> DataFrame:
             keys = [int.from_bytes(hashlib.blake2b(t.tobytes(), digest_size=8).digest(), "little", signed=True) for t in found]
             yield pd.DataFrame({"key": np.array(keys, dtype=np.int64), "tokens": [t.view(np.int64) for t in found]})
 
-    return docs.select("text").mapInPandas(rows, "key long, tokens array<long>")
+    return python_rows(docs.select("text")).mapInPandas(freed(rows), "key long, tokens array<long>")
 
 
 def block_links(left: list[np.ndarray], right: list[np.ndarray], num: int, den: int) -> np.ndarray:

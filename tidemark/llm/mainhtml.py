@@ -9,6 +9,8 @@ from html import unescape
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.llm.shared import freed, python_rows
+
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
@@ -245,4 +247,4 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
             yield batch[["page_id", "url"]].assign(text=texts, n_chars=pd.Series([len(t) for t in texts], index=batch.index, dtype="int64"))
 
     kind = dict(pages.dtypes)["page_id"]
-    return pages.select("page_id", "url", "html").mapInPandas(extract, f"page_id {kind}, url string, text string, n_chars long")
+    return python_rows(pages.select("page_id", "url", "html")).mapInPandas(freed(extract), f"page_id {kind}, url string, text string, n_chars long")

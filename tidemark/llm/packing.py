@@ -14,10 +14,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, number_rows
+from tidemark.llm.shared import cut, freed, number_rows, python_rows
 
 #: Bytes of text that are split into words at once, and words and pieces whose ids a worker remembers.
-CHUNK_BYTES, MOST_WORDS, MOST_PIECES = 8_000_000, 500_000, 400_000
+CHUNK_BYTES, MOST_WORDS, MOST_PIECES = 4_000_000, 350_000, 250_000
 
 #: A rank that no merge has.
 NO_RANK = np.int64(1 << 40)
@@ -244,7 +244,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, window: int, end_id: int) -> D
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(split, f"doc_id {kind}, start long, length long, crc long, ids binary, doc_tokens long")
+    return python_rows(docs.select("doc_id", "text")).mapInArrow(freed(split), f"doc_id {kind}, start long, length long, crc long, ids binary, doc_tokens long")
 
 
 def combinations(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -421,4 +421,4 @@ def pack_sequences(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
             yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return ranked.mapInPandas(place, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return python_rows(ranked).mapInPandas(freed(place), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

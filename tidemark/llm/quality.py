@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.shared import freed, python_rows
+
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 
@@ -59,7 +61,7 @@ def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
             yield pd.concat([batch[keep].reset_index(drop=True), pd.DataFrame(found, columns=STATISTICS)], axis=1)
 
     schema = ", ".join([f"`{c}` {t}" for c, t in docs.select(*keep).dtypes] + [f"{c} long" for c in STATISTICS])
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(measure, schema)
+    return python_rows(docs.select(*dict.fromkeys([*keep, "text"]))).mapInPandas(freed(measure), schema)
 
 
 #: Interpretable ratios over the statistics, as SQL; rules are conjunctions of thresholds on these and on n_words.

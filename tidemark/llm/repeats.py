@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import attach, cut
+from tidemark.llm.shared import attach, cut, freed, python_rows
 from tidemark.llm.shingles import rolling, split_words, text_chunks, word_hashes
 
 #: Words of the anchors by which equal windows find each other.
@@ -114,7 +114,7 @@ def _anchors(docs: DataFrame, window: int) -> DataFrame:
                 yield pd.DataFrame({"anchor": anchor.view(np.int64), "doc_id": ids[first + text], "start": start.astype(np.int32)})
 
     kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInPandas(rows, f"anchor long, doc_id {kind}, start int")
+    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(rows), f"anchor long, doc_id {kind}, start int")
 
 
 def _passages(marked: DataFrame, window: int, with_text: bool) -> DataFrame:
@@ -136,7 +136,7 @@ def _passages(marked: DataFrame, window: int, with_text: bool) -> DataFrame:
                 yield out.assign(words=content) if with_text else out
 
     kind = dict(marked.dtypes)["doc_id"]
-    return marked.mapInPandas(rows, f"anchor long, content long, doc_id {kind}, start int, windows int" + ", words binary" * with_text)
+    return python_rows(marked).mapInPandas(freed(rows), f"anchor long, content long, doc_id {kind}, start int, windows int" + ", words binary" * with_text)
 
 
 def seen_windows(contents: list[bytes], window: int) -> list[list[int]]:
@@ -213,4 +213,4 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 rows.append((doc_id, len(words), len(words) - len(kept), [{"start": b, "end": e} for b, e in zip(begin, end)], b" ".join(kept).decode()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    return attach(ours, repeats, "doc_id", repeats.count()).mapInPandas(strip, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")
+    return python_rows(attach(ours, repeats, "doc_id", repeats.count())).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "python_rows", "freed", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,6 +25,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of an Arrow batch that a Python worker gets, where the session has Spark's default.
+BATCH_BYTES, DEFAULT_BATCH_BYTES = "8m", ("64m", "64MB", "67108864", "67108864b")
+
+
+def python_rows(rows: DataFrame) -> DataFrame:
+    """Rows for a Python stage: batches are bounded in bytes, so a worker's memory doesn't follow the texts' length."""
+    conf = rows.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", DEFAULT_BATCH_BYTES[0]) in DEFAULT_BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return rows
+
+
+def freed(stage: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A Python stage that gives memory back when its task ends: workers live on and would keep it from other stages."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from stage(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return run
+
+
 def word_count(text: Column) -> Column:
     """Number of words, JVM-side; null and blank texts have none.
 

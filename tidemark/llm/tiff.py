@@ -12,6 +12,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from tidemark.llm.shared import freed, python_rows
+
 # Fixed values of the TIFF 6.0 format: tags, compression schemes, and bytes per field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, FILL_ORDER = 256, 257, 258, 259, 262, 266
 STRIP_OFFSETS, SAMPLES, ROWS_PER_STRIP, STRIP_BYTES, PLANAR, PREDICTOR = 273, 277, 278, 279, 284, 317
@@ -312,7 +314,7 @@ def decode_tiff(media: DataFrame, key: str, content: str) -> DataFrame:
                     yield pd.DataFrame([(name, p.number, p.width, p.height, p.samples, p.bits, p.data, p.error)], columns=[key, "page", "width", "height", "samples", "bits", "data", "error"])
 
     kind = dict(media.dtypes)[key]
-    return media.select(key, content).mapInPandas(pages, f"`{key}` {kind}, page int, width int, height int, samples int, bits int, data binary, error string")
+    return python_rows(media.select(key, content)).mapInPandas(freed(pages), f"`{key}` {kind}, page int, width int, height int, samples int, bits int, data binary, error string")
 
 
 #: Payload unit and image width: one row of samples a unit.
@@ -363,4 +365,4 @@ def text_media(docs: DataFrame) -> DataFrame:
 
     kind = dict(docs.dtypes)["doc_id"]
     schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return docs.select("doc_id", "text").mapInPandas(convert, schema)
+    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(convert), schema)
