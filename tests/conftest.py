@@ -10,6 +10,6 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from tidemark.session import local_session
 
-    session = local_session(4, "tests", **{"spark.sql.shuffle.partitions": "4"})
+    session = local_session(2, "tests", **{"spark.sql.shuffle.partitions": "4"})
     yield session
     session.stop()

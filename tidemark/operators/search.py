@@ -37,10 +37,14 @@ def postings(rows: DataFrame, asset: str, channels: Mapping[str, Column]) -> Dat
 
 
 def match_words(posted: DataFrame, groups: Sequence[Sequence[str]], asset: str) -> DataFrame:
-    """Assets that have a word of every group: the query's words are joined to the postings, never to the corpus."""
+    """Assets that have a word of every group: the query's words are joined to the postings, never to the corpus.
+
+    The word filter is on a grouping key of the postings, so it reaches below their aggregate.
+    """
     spark = posted.sparkSession
+    words = list(dict.fromkeys(w for group in groups for w in group))
     query = spark.createDataFrame([(k, w) for k, group in enumerate(groups) for w in dict.fromkeys(group)], "word_group int, lexeme string")
-    found = posted.join(F.broadcast(query), "lexeme").groupBy(asset).agg(F.countDistinct("word_group").alias("_groups"))
+    found = posted.where(F.col("lexeme").isin(*words)).join(F.broadcast(query), "lexeme").groupBy(asset).agg(F.countDistinct("word_group").alias("_groups"))
     return found.where(F.col("_groups") == len(groups)).select(asset)
 
 

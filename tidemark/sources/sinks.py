@@ -60,6 +60,6 @@ def reload_dimension(rows: DataFrame, path: str) -> None:
 
 def orphan_files(files: DataFrame, owned: DataFrame, now, age_hours: int = 24) -> DataFrame:
     """Files (path, modified_at) older than the age that no owner's path is or contains; what a dry run reports."""
-    folders = files.withColumn("_owner", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda n: F.substring_index("path", "/", n))))
+    folders = files.withColumn("_owner", F.explode(F.transform(F.sequence(F.lit(1), F.size(F.split("path", "/"))), lambda n: F.array_join(F.slice(F.split("path", "/"), F.lit(1), n), "/"))))
     kept = folders.join(owned.select(F.col("path").alias("_owner")), "_owner", "left_semi").select("path").distinct()
     return files.where(F.col("modified_at") < F.lit(now) - F.make_dt_interval(F.lit(0), F.lit(age_hours))).join(kept, "path", "left_anti")
