@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import attach, cut
+from tidemark.llm.shared import attach, attach_lists, cut
 
 #: Shorter lines are compared for equality only: one edit would join different words.
 NEAR_CHARS = 20
@@ -114,7 +114,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     lines = F.split("text", "\n")
     left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed")), lambda i: F.get(lines, i))
     return (
-        attach(docs, removed, "doc_id", removed.count())
+        attach_lists(docs, removed, "doc_id", "_removed")
         .withColumn("n_lines", F.coalesce(F.size(F.filter(lines, _has_word)), F.lit(0)).cast("long"))
         .withColumn("n_removed", F.coalesce(F.size("_removed"), F.lit(0)).cast("long"))
         .withColumn("kept", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))

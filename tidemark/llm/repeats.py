@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import attach, cut, freed, python_rows
+from tidemark.llm.shared import attach_lists, cut, freed, python_rows
 from tidemark.llm.shingles import rolling, split_words, text_chunks, word_hashes
 
 #: Words of the anchors by which equal windows find each other.
@@ -171,7 +171,7 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     n_shared = shared.count()
     marked = _anchors(named, window).join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
     marked = cut(marked)
-    candidates = attach(named, marked, "doc_id", marked.count(), "inner")
+    candidates = attach_lists(named, marked, "doc_id", "starts", "inner")
     shards = max(1, -(-2 * n_shared // SHARD_PASSAGES))
     distinct = _passages(candidates, window, True).groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.any_value("words").alias("words"))
 
@@ -190,21 +190,25 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     verdicts = cut(verdicts)
     placed = _passages(candidates, window, False).join(verdicts, ["anchor", "content"])
     earliest = (F.col("doc_id") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    starts = F.when(earliest, F.transform("seen", lambda k: F.col("start") + k)).otherwise(F.sequence(F.col("start"), F.col("start") + F.col("windows") - 1))
-    repeats = placed.select("doc_id", starts.alias("starts")).where(F.size("starts") > 0).groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("starts"))).alias("starts"))
+    # A run of windows is one number, its first window above its length: what is joined to the texts stays small.
+    run = lambda start, n: F.shiftleft(start.cast("long"), 32).bitwiseOR(n.cast("long"))
+    runs = F.when(earliest, F.transform("seen", lambda k: run(F.col("start") + k, F.lit(1)))).otherwise(F.array(run(F.col("start"), F.col("windows"))))
+    repeats = placed.select("doc_id", F.explode(runs).alias("run")).groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
     repeats = cut(repeats)
 
     def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for doc_id, text, starts in zip(batch["doc_id"], batch["text"], batch["starts"]):
+            for doc_id, text, runs in zip(batch["doc_id"], batch["text"], batch["runs"]):
                 words = split_words(text, False)
-                if starts is None or not len(starts):
+                if runs is None or not len(runs):
                     rows.append((doc_id, len(words), 0, [], b" ".join(words).decode()))
                     continue
-                ordered = np.sort(np.asarray(starts, dtype=np.int64))
-                breaks = np.flatnonzero(np.diff(ordered) > window)
-                begin, end = ordered[np.append(0, breaks + 1)].tolist(), (ordered[np.append(breaks, len(ordered) - 1)] + window).tolist()
+                ordered = np.sort(np.asarray(runs, dtype=np.int64))
+                starts = ordered >> 32
+                ends = np.maximum.accumulate(starts + (ordered & 0xFFFFFFFF) - 1 + window)
+                breaks = np.flatnonzero(starts[1:] > ends[:-1])
+                begin, end = starts[np.append(0, breaks + 1)].tolist(), ends[np.append(breaks, len(ends) - 1)].tolist()
                 kept, at = [], 0
                 for b, e in zip(begin, end):
                     kept += words[at:b]
@@ -213,4 +217,4 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 rows.append((doc_id, len(words), len(words) - len(kept), [{"start": b, "end": e} for b, e in zip(begin, end)], b" ".join(kept).decode()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    return python_rows(attach(ours, repeats, "doc_id", repeats.count())).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")
+    return python_rows(attach_lists(ours, repeats, "doc_id", "runs")).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")

@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "python_rows", "freed", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -94,6 +94,17 @@ def keep_ids(rows: DataFrame, ids: DataFrame, key: str, n_ids: int) -> DataFrame
     return rows.join(F.broadcast(few) if n_ids <= BROADCAST_ROWS else few, key, "left_semi")
 
 
+#: Numbers in arrays that a side may have beside its rows to be broadcast: some tens of megabytes.
+BROADCAST_NUMBERS = 5_000_000
+
+
+def attach_lists(rows: DataFrame, facts: DataFrame, key: str, numbers: str, how: str = "left") -> DataFrame:
+    """Join facts with an array of numbers a key: map-side if both rows and numbers are few, by a shuffle beyond."""
+    n_rows, n_numbers = facts.agg(F.count("*"), F.coalesce(F.sum(F.size(numbers)), F.lit(0))).first()
+    few = n_rows <= BROADCAST_ROWS and n_numbers <= BROADCAST_NUMBERS
+    return rows.join(F.broadcast(facts) if few else facts, key, how)
+
+
 def attach(rows: DataFrame, facts: DataFrame, key: str, n_facts: int, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``facts`` (one row a key) to rows: map-side while there are few, by a shuffle beyond."""
     return rows.join(F.broadcast(facts) if n_facts <= limit else facts, key, how)
