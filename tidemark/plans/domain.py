@@ -538,3 +538,60 @@ def v08(spark: SparkSession, sf_dir: str) -> DataFrame:
 def v12(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = table(spark, sf_dir, "lineitem").select("l_partkey", "l_orderkey", "l_linenumber")
     return validation.missing_references(line, "l_partkey", table(spark, sf_dir, "part").where("p_size > 10"), "p_partkey")
+
+
+@query(
+    "d22_repeated_headers",
+    """
+    WITH b AS (SELECT source AS document_id, doc_id AS page, split_part(text, chr(10), 1)[1:2] AS text, (doc_id % 3)::DOUBLE AS x0, 0.0::DOUBLE AS y0 FROM documents),
+    n AS (SELECT *, CASE WHEN page - lag(page) OVER w <= 60 AND abs(x0 - lag(x0) OVER w) <= 1 AND abs(y0 - lag(y0) OVER w) <= 1 THEN 0 ELSE 1 END AS starts FROM b WINDOW w AS (PARTITION BY document_id, text ORDER BY page, y0, x0)),
+    g AS (SELECT *, sum(starts) OVER (PARTITION BY document_id, text ORDER BY page, y0, x0 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM n)
+    SELECT document_id, text, count(DISTINCT page) AS pages, min(page) AS first_page, max(page) AS last_page FROM g GROUP BY document_id, text, grp HAVING count(DISTINCT page) >= 2
+    """,
+)
+def d22(spark: SparkSession, sf_dir: str) -> DataFrame:
+    blocks = table(spark, sf_dir, "documents").select(
+        F.col("source").alias("document_id"), F.col("doc_id").alias("page"), F.substring(F.substring_index("text", "\n", 1), 1, 2).alias("text"), (F.col("doc_id") % 3).cast("double").alias("x0"), F.lit(0.0).alias("y0")
+    )
+    return structure.repeated_headers(blocks, tolerance=1.0, least_pages=2, gap=60)
+
+
+@query(
+    "d39_unsafe_windows",
+    """
+    WITH t AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda x: x <> '') AS tokens FROM documents)
+    SELECT doc_id, w::INTEGER AS window_index FROM (SELECT *, unnest(range(0, (len(tokens) + 199) // 200)) AS w FROM t WHERE len(tokens) > 0) x
+    WHERE least(w * 200 + 200, len(tokens)) - w * 200 > 150 OR strlen(array_to_string(tokens[w * 200 + 1 : w * 200 + 200], ' ')) >= 700
+    """,
+)
+def d39(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = table(spark, sf_dir, "documents").select("doc_id", search.index_tokens(F.col("text")).alias("tokens"))
+    return search.unsafe_windows(search.windows(tokens, "doc_id", "tokens", 200), "doc_id", 150, 700)
+
+
+@query(
+    "d44_route_report",
+    CANDIDATES + """, k AS (SELECT *, max(CASE WHEN exclusive AND score >= 700 THEN score END) OVER (PARTITION BY unit_id) AS locked FROM c WHERE score >= 55),
+    r AS (SELECT unit_id, label_key, row_number() OVER (PARTITION BY unit_id ORDER BY (evidence = 'similarity'), score DESC, label_key) AS position FROM k WHERE locked IS NULL OR (exclusive AND score = locked))
+    SELECT e.doc_id AS unit_id, coalesce(bool_or(r.label_key = 'risk'), false) AS found, coalesce(bool_or(r.label_key = 'risk' AND r.position = 1), false) AS is_first
+    FROM (SELECT doc_id FROM documents WHERE doc_id % 3 = 0) e LEFT JOIN r ON r.unit_id = e.doc_id GROUP BY e.doc_id""",
+)
+def d44(spark: SparkSession, sf_dir: str) -> DataFrame:
+    routed = routing.pruned(routing.candidates(_sources(spark, sf_dir), _labels(spark)))
+    expected = table(spark, sf_dir, "documents").where("doc_id % 3 = 0").select(F.col("doc_id").alias("unit_id"), F.lit("risk").alias("expected_key"))
+    return routing.route_report(routed, expected)
+
+
+@query(
+    "d25_retrieval_targets",
+    "SELECT event_id, CASE event_type WHEN 'view' THEN 'table' WHEN 'click' THEN 'text' WHEN 'signup' THEN 'image' END AS target FROM events",
+)
+def d25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = F.when(F.col("event_type") == "view", "table_body").when(F.col("event_type") == "click", "text").when(F.col("event_type") == "signup", "image_caption").otherwise("unknown")
+    return structure.retrieval_targets(table(spark, sf_dir, "events").select("event_id", fields.alias("field"))).select("event_id", "target")
+
+
+@query("v02_neither", "SELECT o_orderkey FROM orders WHERE nullif(o_orderstatus, 'F') IS NULL AND nullif(o_orderpriority, '5-LOW') IS NULL")
+def v02(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.nullif(F.col("o_orderstatus"), F.lit("F")).alias("a"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("b"))
+    return validation.neither(rows, "a", "b").select("o_orderkey")
