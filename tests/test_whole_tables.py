@@ -52,3 +52,11 @@ def test_units_take_the_blocks_of_all_pages(spark, pages):
     wanted = {(s, n, len(b), b[0][0], b[-1][0], "\n".join(t for _, t in b)) for (s, n), b in units.items()}
     got = run(spark, "d24_coarse_units", pages)
     assert len(got) == len(wanted) and set(got) == wanted
+
+
+def test_words_are_numbered_to_the_end_of_a_text(spark, tmp_path):
+    texts = {1: " ".join(f"word{i}" for i in range(90)), 2: "one  two\nthree ", 3: "", 4: None, 5: "x" * 198 + " straddling " + "y" * 300}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = sorted((i, w, n) for i, t in texts.items() if t is not None for n, w in enumerate(t.split(" "), 1))
+    got = [(r["doc_id"], r["word"], r["position"]) for r in catalog.QUERIES["j10_ordinality"](spark, str(tmp_path)).collect()]
+    assert sorted(got) == wanted

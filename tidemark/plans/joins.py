@@ -75,7 +75,7 @@ def j09(spark: SparkSession, sf_dir: str) -> DataFrame:
     "SELECT doc_id, unnest(string_split(substr(text, 1, 200), ' ')) AS word, generate_subscripts(string_split(substr(text, 1, 200), ' '), 1)::BIGINT AS position FROM documents",
 )
 def j10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split(F.substring("text", 1, 200), " ")).alias("position", "word"))
+    words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("position", "word"))
     return words.withColumn("position", (F.col("position") + 1).cast("bigint"))
 
 
