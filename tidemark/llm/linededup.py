@@ -1,7 +1,10 @@
-"""Line dedup by a deletion-neighbourhood join, in DataFrame operations only."""
+"""Line dedup by a join on the parts that a few edits leave alone, in DataFrame operations only."""
 
 from __future__ import annotations
 
+import itertools
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,7 +13,8 @@ from tidemark.llm.shared import attach, attach_lists, cut
 #: Shorter lines are compared for equality only: one edit would join different words.
 NEAR_CHARS = 20
 
-HALF_KEYS = ["_a", "_b", "_c", "_d"]
+#: Lines with a key in common that are all compared with each other; more are keyed again by finer parts.
+LONG_LIST = 64
 
 
 def _has_word(line: Column) -> Column:
@@ -29,63 +33,95 @@ def _with_key(lines: DataFrame) -> DataFrame:
     return lines.withColumns({"_k1": F.xxhash64("line"), "_k2": F.crc32("line"), "_len": F.length("line")})
 
 
-def _half_keys(line: Column, length: Column) -> list[Column]:
-    """Hashes of the first and last half of a line, once as the shorter and once as the longer of a pair.
+def _shifts(edits: int, gap: int) -> list[tuple[int, ...]]:
+    """Shifts behind each of ``edits`` edited parts, the last being the two lines' difference in length, that so many edits can make."""
+    steps = itertools.product(range(-edits, edits + 1), repeat=edits)
+    return [tuple(itertools.accumulate(s)) for s in steps if sum(s) == gap and sum(map(abs, s)) <= edits]
+
+
+def _part_runs(max_edits: int, n_parts: int) -> list[tuple[int, list[tuple[int, int, int]]]]:
+    """What a pair within ``max_edits`` may agree on: difference in length, and runs of parts (first, end, shift) left alone.
 
-    A pair whose shorter line has m characters and which is one edit apart agrees on its first m // 2
-    characters or on its last m - m // 2.
+    The shorter line, of m characters, is cut into ``n_parts`` parts. Each edit falls into one of them, so the pair agrees
+    outside some ``max_edits`` parts; behind an edited part the longer line's text is shifted.
     """
-    keys = []
-    for m in (length, length - 1):
-        half = (m / 2).cast("int")
-        keys.append(F.xxhash64(F.lit(0), m, F.substring(line, F.lit(1), half)))
-        keys.append(F.xxhash64(F.lit(1), m, F.substring(line, length - (m - half) + 1, m - half)))
+    found = {}
+    for gap in range(max_edits + 1):
+        for edited in itertools.combinations(range(n_parts), max_edits):
+            bounds = [-1, *edited, n_parts]
+            for shifts in _shifts(max_edits, gap):
+                runs = [(b + 1, e, s) for b, e, s in zip(bounds, bounds[1:], (0, *shifts)) if b + 1 < e]
+                # With one part left alone, of those that agree there is one with no more edits than parts on either side.
+                if n_parts > max_edits + 1 or (abs(runs[0][2]) <= runs[0][0] and abs(gap - runs[0][2]) <= max_edits - runs[0][0]):
+                    found[gap, tuple(runs)] = gap, runs
+    return list(found.values())
+
+
+def _part_keys(line: Column, length: Column, max_edits: int) -> list[Column]:
+    """Hashes of each of a line's ``max_edits`` + 1 parts, as the shorter and as the longer of a pair."""
+    keys, n = [], max_edits + 1
+    for gap, [(part, _, shift)] in _part_runs(max_edits, n):
+        m = length - gap
+        start = F.floor(m * part / n).cast("int")
+        keys.append(F.xxhash64(F.lit(part), m, F.substring(line, start + 1 + shift, F.floor(m * (part + 1) / n).cast("int") - start)))
     return keys
 
 
-def _near_lines(distinct: DataFrame, docs: DataFrame) -> DataFrame:
-    """Keys of distinct lines that are one edit from a line which comes earlier, with that line's place."""
-    near = distinct.where(F.col("_len") >= NEAR_CHARS)
-    halves = near.select("_k1", "_k2", "_len", "_at", F.explode(F.array(*[F.struct(F.col(c).alias("key"), F.lit(k % 2).alias("last")) for k, c in enumerate(HALF_KEYS)])).alias("_h"))
-    halves = halves.select("_k1", "_k2", "_len", "_at", F.col("_h.key").alias("_half"), F.col("_h.last").alias("_last"))
-    shared = cut(halves.groupBy("_half").agg(F.min("_k1").alias("_lo"), F.max("_k1").alias("_hi")).where("_lo < _hi").select("_half"))
-    n_shared = shared.count()
-    chosen = attach(halves, shared, "_half", n_shared, "left_semi").groupBy("_k1", "_k2", "_len", "_at").agg(F.min("_last").alias("_from_first"), F.max("_last").alias("_to_last"))
-    chosen = cut(chosen.withColumns({"doc_id": F.col("_at.doc_id"), "line_no": F.col("_at.line_no")}))
-    texts = cut(attach(_lines(docs), chosen, ["doc_id", "line_no"], chosen.count(), "inner").select("_k1", "_k2", "_at", "line", "_len", "_from_first", "_to_last"))
-    # A shared first half leaves the edit to the second, and the other way round; one position more on either side costs nothing.
-    middle = (F.col("_len") / 2).cast("int")
-    first = F.when(F.col("_to_last") == 0, F.greatest(middle - 1, F.lit(1))).otherwise(F.lit(1))
-    last = F.when(F.col("_from_first") == 1, F.least(middle + 2, F.col("_len"))).otherwise(F.col("_len"))
-    places = F.explode(F.concat(F.array(F.lit(0)), F.sequence(first, last)))
-    variants = texts.select("_k1", "_k2", "_at", "line", places.alias("_i")).select(
-        "_k1",
-        "_k2",
-        "_at",
-        "_i",
-        F.when(F.col("_i") == 0, F.xxhash64("line"))
-        .otherwise(F.xxhash64(F.concat(F.substring(F.col("line"), F.lit(1), F.col("_i") - 1), F.substring(F.col("line"), F.col("_i") + 1, F.length("line")))))
-        .alias("_variant"),
-    )
-    met = cut(variants.groupBy("_variant").agg(F.min("_k1").alias("_lo"), F.max("_k1").alias("_hi")).where("_lo < _hi").select("_variant"))
-    variants = cut(attach(variants, met, "_variant", met.count(), "left_semi"))
-    # Equal variants of one deleted position are one substitution apart; a deletion's variant that is a whole line is one insertion from it.
-    swaps = variants.where("_i > 0").groupBy("_variant", "_i").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).where("_first < _last").drop("_last")
-    drops = (
-        variants.groupBy("_variant")
-        .agg(F.min(F.when(F.col("_i") == 0, F.col("_at"))).alias("_whole"), F.min(F.when(F.col("_i") > 0, F.col("_at"))).alias("_cut"))
-        .where("_whole is not null and _cut is not null")
-    )
-    by_swap = variants.where("_i > 0").join(swaps, ["_variant", "_i"]).select("_k1", "_k2", "_at", F.col("_first").alias("_witness"))
-    by_drop = variants.join(drops, "_variant").select("_k1", "_k2", "_at", F.when(F.col("_i") == 0, F.col("_cut")).otherwise(F.col("_whole")).alias("_witness"))
-    pairs = by_swap.union(by_drop).where("_witness < _at").distinct()
-    one, other = texts.select("_at", F.col("line").alias("_line")), texts.select(F.col("_at").alias("_witness"), F.col("line").alias("_earlier"))
-    verified = pairs.join(one, "_at").join(other, "_witness").where(F.levenshtein("_line", "_earlier", 1).between(0, 1))
-    return verified.groupBy("_k1", "_k2").agg(F.min("_witness").alias("_witness"))
+def _fine_keys(line: str, max_edits: int, n_parts: int) -> Column:
+    """The same by more parts, all but ``max_edits`` of which agree; one expression over a list, as there are many."""
+    runs = [{"gap": gap, "runs": [{"b": b, "e": e, "s": s} for b, e, s in runs]} for gap, runs in _part_runs(max_edits, n_parts)]
+    piece = f"substring({line}, int(floor((length({line}) - k.gap) * r.b / {n_parts})) + 1 + r.s, int(floor((length({line}) - k.gap) * r.e / {n_parts})) - int(floor((length({line}) - k.gap) * r.b / {n_parts})))"
+    key = f"xxhash64(array_join(transform(k.runs, r -> concat(r.b, '-', r.e)), ','), length({line}) - k.gap, array_join(transform(k.runs, r -> {piece}), ''))"
+    return F.expr(f"array_distinct(transform(from_json('{json.dumps(runs)}', 'array<struct<gap:int,runs:array<struct<b:int,e:int,s:int>>>>'), k -> {key}))")
+
+
+def _key_names(max_edits: int) -> list[str]:
+    return [f"_p{k}" for k in range(len(_part_runs(max_edits, max_edits + 1)))]
+
+
+def _lists(keyed: DataFrame) -> DataFrame:
+    """Lines (_id, _key) whose key another line has too, with the number of lines and the earliest."""
+    shared = cut(keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"))
+    members = cut(attach(keyed, shared, "_key", shared.count(), "inner"))
+    return members.join(members.groupBy("_key").agg(F.min("_id").alias("_first")), "_key")
+
+
+def _pairs(later: DataFrame, members: DataFrame) -> DataFrame:
+    return later.select("_id", "_key").join(members.select("_key", F.col("_id").alias("_witness")), "_key").where("_witness._at < _id._at").select("_id", "_witness").distinct()
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
+    """Lines of the pairs that are within ``max_edits`` of their witness."""
+    other = texts.select(F.col("_id").alias("_witness"), F.col("line").alias("_earlier"))
+    return pairs.join(texts, "_id").join(other, "_witness").where(F.levenshtein("line", "_earlier", max_edits).between(0, max_edits)).select("_id").distinct()
+
+
+def _firsts(members: DataFrame) -> DataFrame:
+    return members.select("_id", F.col("_first").alias("_witness")).where("_witness._at < _id._at").distinct()
+
+
+def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int) -> DataFrame:
+    """Keys of distinct lines that are within ``max_edits`` of a line which comes earlier."""
+    identity = F.struct("_at", "_k1", "_k2").alias("_id")
+    keyed = distinct.where(F.col("_len") >= NEAR_CHARS).select(identity, F.explode(F.array_distinct(F.array(*_key_names(max_edits)))).alias("_key"))
+    members = cut(_lists(keyed))
+    chosen = cut(members.select("_id").distinct().select("_id", F.col("_id._at.doc_id").alias("doc_id"), F.col("_id._at.line_no").alias("line_no"), F.col("_id._k1").alias("_k1")))
+    lines = _lines(docs).withColumn("_k1", F.xxhash64("line"))
+    texts = cut(attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"]))
+    short, long = members.where(F.col("_n") <= LONG_LIST), members.where(F.col("_n") > LONG_LIST)
+    near = cut(_verified(_pairs(short, short).union(_firsts(long)).distinct(), texts, max_edits))
+    crowded = cut(long.select("_id").distinct())
+    if crowded.count():
+        # Twice as many parts leave less of a line open and tell a long list's lines apart; a line with a witness looks for no other.
+        parts = _fine_keys("line", max_edits, 2 * (max_edits + 1))
+        fine = cut(_lists(texts.join(crowded, "_id", "left_semi").select("_id", F.explode(parts).alias("_key"))))
+        near = cut(near.union(_verified(_firsts(fine.join(near, "_id", "left_anti")), texts, max_edits)))
+        near = cut(near.union(_verified(_pairs(fine.join(near, "_id", "left_anti"), fine), texts, max_edits)))
+    return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """Remove lines that equal an earlier line of the corpus, or are one character edit from one; earlier by (doc_id, line).
+def dedup_lines(docs: DataFrame, max_edits: int = 1) -> DataFrame:
+    """Remove lines that equal an earlier line of the corpus, or are within ``max_edits`` character edits of one; earlier by (doc_id, line).
 
     Adds n_lines (lines with a word), n_removed and ``kept``, the text without the removed lines; other columns stay.
     Lines end at a line feed. Lines without a word stay and are not counted; lines under ``NEAR_CHARS`` characters are
@@ -93,17 +129,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     near, removed or not. A null text has no lines and stays null; rows without doc_id stay as they are; rows that share a
     doc_id are one document for the order, so the same line of both stays in both.
 
-    Only distinct lines are compared. Those that share neither half with another of fitting length can't be near any and emit
-    nothing; the others emit every variant with one character deleted, hashed. Groups of equal variants are never paired off:
-    each yields its earliest line, against which the others are verified.
+    Only distinct lines are compared, and only those that share the text outside ``max_edits`` of their ``max_edits`` + 1 parts.
+    Up to ``LONG_LIST`` lines of one key are paired off. Of more, each is held against the earliest and then, if that is not
+    near, against those with which it shares the text outside ``max_edits`` of twice as many parts.
     """
+    if not 1 <= max_edits < NEAR_CHARS // 4:
+        raise ValueError("max_edits must be from 1 to 4")
     keyed = _with_key(_lines(docs))
+    names = _key_names(max_edits)
     near = F.col("_len") >= NEAR_CHARS
-    marked = keyed.select("_k1", "_k2", "_len", F.struct("doc_id", "line_no").alias("_at"), *[F.when(near, key).alias(name) for name, key in zip(HALF_KEYS, _half_keys(F.col("line"), F.col("_len")))])
-    distinct = cut(marked.groupBy("_k1", "_k2", "_len").agg(F.min("_at").alias("_at"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in HALF_KEYS]))
-    near_keys = cut(_near_lines(distinct, docs))
-    flagged = attach(distinct, near_keys, ["_k1", "_k2"], near_keys.count()).where("_n > 1 or _witness is not null")
-    flagged = cut(flagged.select("_k1", "_k2", "_len", F.col("_at").alias("_kept_at"), F.col("_witness").isNotNull().alias("_near")))
+    marked = keyed.select("_k1", "_k2", "_len", F.struct("doc_id", "line_no").alias("_at"), *[F.when(near, key).alias(name) for name, key in zip(names, _part_keys(F.col("line"), F.col("_len"), max_edits))])
+    distinct = cut(marked.groupBy("_k1", "_k2", "_len").agg(F.min("_at").alias("_at"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in names]))
+    near_keys = cut(_near_lines(distinct, docs, max_edits))
+    flagged = attach(distinct, near_keys, ["_k1", "_k2"], near_keys.count()).where("_n > 1 or _is_near")
+    flagged = cut(flagged.select("_k1", "_k2", "_len", F.col("_at").alias("_kept_at"), F.coalesce("_is_near", F.lit(False)).alias("_near")))
     removed = (
         attach(keyed.drop("line"), flagged, ["_k1", "_k2", "_len"], flagged.count(), "inner")
         .where(F.col("_near") | (F.struct("doc_id", "line_no") != F.col("_kept_at")))

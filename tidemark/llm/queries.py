@@ -19,6 +19,9 @@ from tidemark.llm.tiff import text_media
 
 SHARDS = 40
 
+#: Character edits up to which a line counts as a copy of an earlier one.
+LINE_EDITS = 2
+
 
 def op1_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 40 shards of near equal bytes, equal texts together; a null text counts as no bytes (checksum 0)."""
@@ -57,7 +60,7 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those removed, and a digest of what is left (of the empty text for null)."""
-    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), LINE_EDITS)
     return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
