@@ -60,3 +60,33 @@ def test_words_are_numbered_to_the_end_of_a_text(spark, tmp_path):
     wanted = sorted((i, w, n) for i, t in texts.items() if t is not None for n, w in enumerate(t.split(" "), 1))
     got = [(r["doc_id"], r["word"], r["position"]) for r in catalog.QUERIES["j10_ordinality"](spark, str(tmp_path)).collect()]
     assert sorted(got) == wanted
+
+
+@pytest.fixture(scope="module")
+def events(spark, tmp_path_factory):
+    """Types that only events of an id that 2, 3 or neither divides have; ids beyond 1,000; a null value."""
+    folder = str(tmp_path_factory.mktemp("events"))
+    rows = [(1, 7, "signup", 5.0), (3, 7, "click", 50.0), (5, 7, "view", 500.0), (6, 8, "click", 5.0), (7, 8, "error", None), (9, 9, "view", 20.0), (1003, 9, "click", 700.0), (2001, 10, "purchase", 3.0)]
+    rows = [(i, u, t, v, '{"k": %d}' % i) for i, u, t, v in rows]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string").write.parquet(f"{folder}/events.parquet")
+    return folder, rows
+
+
+def test_canonical_json_of_every_event(spark, events):
+    folder, rows = events
+    assert sorted(run(spark, "fn_canonical_json", folder)) == [(i, props) for i, _, _, _, props in rows]
+
+
+def test_predicates_see_all_types_of_a_user(spark, events):
+    folder, rows = events
+    types = defaultdict(set)
+    for _, user, kind, _, _ in rows:
+        types[user].add(kind)
+    for name, wanted in [("f05_any_of", lambda t: t & {"signup", "error"}), ("f06_all_of", lambda t: t >= {"click", "view", "signup"}), ("f07_scalar_or_array", lambda t: "signup" in t)]:
+        assert sorted(run(spark, name, folder)) == [(u,) for u in sorted(types) if wanted(types[u])], name
+
+
+def test_union_takes_every_event(spark, events):
+    folder, rows = events
+    got = run(spark, "u01_union", folder)
+    assert len(got) == len(set(got)) and set(got) == {(u, t) for _, u, t, _, _ in rows}

@@ -162,8 +162,9 @@ def d35(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("u01_union", "SELECT user_id, event_type FROM events WHERE event_id % 2 = 0 UNION SELECT user_id, event_type FROM events WHERE event_id % 3 = 0")
 def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    pick = lambda k: events.where(F.col("event_id") % k == 0).select("user_id", "event_type")
-    return pick(2).union(pick(3)).distinct()
+    # The sides overlap, and each event is in one at least; one without a value is in both.
+    pick = lambda side: events.where(F.coalesce(side, F.lit(True))).select("user_id", "event_type")
+    return pick(F.col("value") > 10).union(pick(F.col("value") <= 100)).distinct()
 
 
 @query(

@@ -107,7 +107,7 @@ def f04(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _user_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").where("event_id % 3 = 0").groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
 
 
 TYPES_SQL = "WITH t AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events WHERE event_id % 3 = 0 GROUP BY user_id) "
