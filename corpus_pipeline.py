@@ -13,7 +13,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import decision_column, fit_quality_rules, text_statistics, with_ratios
 from tidemark.llm.queries import LINE_EDITS, tokenizer_path
-from tidemark.llm.shared import attach, cut, ensure_checkpoint_dir, keep_ids, table, word_count
+from tidemark.llm.shared import cut, ensure_checkpoint_dir, keep_ids, table, word_count
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,11 +50,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their source takes them; rows that share a doc_id are repeated alike."""
-    mixed = mix_sources(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    repeats = cut(mixed.where("repeats > 0 and doc_id is not null").groupBy("doc_id").agg(F.max("repeats").alias("_repeats")))
-    taken = attach(docs.select(*COLUMNS), repeats, "doc_id", repeats.count(), "inner")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_repeats").cast("int")))).select(*COLUMNS)
+    """Documents as often as the mix of their source takes them; each row by its own count, with or without a doc_id."""
+    mixed = mix_sources(docs.select(*COLUMNS, word_count(F.col("text")).alias("size"))).where("repeats > 0")
+    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repeats").cast("int")))).select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,27 @@ def test_production_uses_a_bound_of_two(spark, tmp_path):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     assert {r["doc_id"] for r in corpus_pipeline.line_dedup(spark, docs, str(tmp_path)).collect()} == {1, 3}
     assert {r["doc_id"]: r["n_removed"] for r in queries.op4_line_dedup(spark, str(tmp_path)).collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_every_row_is_mixed_by_its_own_count(spark):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+    from tidemark.llm.mixing import mix_sources
+    from tidemark.llm.shared import word_count
+
+    rng = random.Random(3)
+    rows = []
+    for i in range(90):
+        text = f"row{i} " + " ".join("w" for _ in range(rng.randint(1, 40)))
+        doc_id = None if i % 5 == 0 else 1 if i % 7 == 0 else i
+        rows.append((doc_id, text, "en", "abc"[i % 3], len(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mix(spark, docs, "").collect()
+    assert {tuple(r) for r in out} <= set(rows) and any(r["doc_id"] is None for r in out)
+    planned = mix_sources(docs.select(*corpus_pipeline.COLUMNS, word_count(F.col("text")).alias("size"))).collect()
+    copies = [r["text"] for r in out]
+    for r in planned:
+        assert copies.count(r["text"]) == r["repeats"]
+    for source in "abc":
+        target = next(r["target"] for r in planned if r["source"] == source)
+        assert abs(sum(len(r["text"].split()) for r in out if r["source"] == source) - target) <= 41 / 2 + 1

@@ -55,6 +55,7 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
     are sorted together. Empty tables give empty results; size 0 and null sources are ordinary; rows repeated
     in full share a hash and one may be taken without the other; further columns are carried along.
     """
+    further = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
     sized = sized.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
     sized = cut(sized.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS)))
     buckets = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words"))
@@ -78,7 +79,7 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
     plans = cut(plans)
     few = plans.count() <= MOST_BROADCAST_SOURCES
     rows = sized.join(F.broadcast(plans) if few else plans, sized["source"].eqNullSafe(plans["_source"])).drop("_source")
-    ordered = W.partitionBy("source").orderBy("_hash", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    ordered = W.partitionBy("source").orderBy("_hash", "doc_id", "size", F.xxhash64(*further) if further else F.lit(0)).rowsBetween(W.unboundedPreceding, -1)
     ending = (
         rows.where(F.col("_bucket") == F.col("_end"))
         .withColumn("_before", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
