@@ -70,3 +70,13 @@ def test_every_row_is_mixed_by_its_own_count(spark):
     for source in "abc":
         target = next(r["target"] for r in planned if r["source"] == source)
         assert abs(sum(len(r["text"].split()) for r in out if r["source"] == source) - target) <= 41 / 2 + 1
+
+
+def test_fixed_capacity_opens_few_shards_beyond_one_lot(spark):
+    from pyspark.sql import functions as F
+    from tidemark.llm import sharding
+
+    n = 2 * sharding.LOT_GROUPS + 5000
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("size"), F.col("id").cast("string").alias("g"))
+    shards = {r["shard"]: r for r in sharding.shard_groups(rows, "g", "size", capacity=100 * n).groupBy("shard").agg(F.sum("size").alias("bytes"), F.count("*").alias("n")).collect()}
+    assert list(shards) == [0] and shards[0]["n"] == n and shards[0]["bytes"] == 100 * n

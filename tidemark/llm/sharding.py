@@ -126,7 +126,8 @@ def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = No
     """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in its shard) to rows; equal keys are one indivisible group.
 
     With ``n_shards`` the capacity is the least that can hold all, and shards come out near equal in bytes. With
-    ``capacity`` as many shards are opened as best fit decreasing needs. A group larger than a whole shard can't stay
+    ``capacity`` as many shards are opened as best fit decreasing needs, up to ``LOT_GROUPS`` groups; more are packed in lots,
+    whose bins are then packed like groups, so that lots don't each keep a shard part empty. A group larger than a whole shard can't stay
     together and is dealt, by a hash of its rows, into parts that are packed like groups. With ``n_shards`` the few
     largest groups are packed first, on the driver; the others are dealt into lots of ``LOT_GROUPS`` and each lot fills
     its share of what the shards have left, so that no task or driver holds more than a bounded number of groups.
@@ -178,13 +179,30 @@ def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = No
         def pack_open(lot_rows: pd.DataFrame) -> pd.DataFrame:
             lot_rows = lot_rows.sort_values(["_bytes", key, "_part"], ascending=[False, True, True])
             lot_bins, _ = best_fit_decreasing(lot_rows["_bytes"].astype(int).tolist(), capacity)
-            return lot_rows[[key, "_part", "_lot"]].assign(shard=pd.Series(lot_bins, index=lot_rows.index, dtype="int32"))
+            return lot_rows[[key, "_part", "_bytes"]].assign(_bin=[int(lot_rows["_lot"].iloc[0]) << 32 | b for b in lot_bins])
 
-        wide = T.StructType([*unit_type.fields[:2], T.StructField("_lot", T.IntegerType()), unit_type.fields[2]])
+        def pack_bins(lot_rows: pd.DataFrame) -> pd.DataFrame:
+            lot_rows = lot_rows.sort_values(["_bytes", "_bin"], ascending=[False, True])
+            lot_bins, _ = best_fit_decreasing(lot_rows["_bytes"].astype(int).tolist(), capacity)
+            return lot_rows[["_bin", "_bytes"]].assign(_to=[int(lot_rows["_lot"].iloc[0]) << 32 | b for b in lot_bins])
+
+        wide = T.StructType([*unit_type.fields[:2], T.StructField("_bytes", T.LongType()), T.StructField("_bin", T.LongType())])
         placed = cut(units.withColumn("_lot", lot).groupBy("_lot").applyInPandas(pack_open, wide))
+        bins = cut(placed.groupBy("_bin").agg(F.sum("_bytes").alias("_bytes")))
+        n_bins = bins.count()
+        placed = placed.drop("_bytes")
+        # Each lot leaves bins part empty: bins are packed like groups, until one lot holds them or few are saved.
+        while lots > 1:
+            before, lots = n_bins, -(-n_bins // LOT_GROUPS)
+            merged = cut(bins.withColumn("_lot", F.pmod(F.xxhash64("_bin", F.lit(n_bins)), F.lit(lots)).cast("int")).groupBy("_lot").applyInPandas(pack_bins, "_bin long, _bytes long, _to long"))
+            placed = cut(attach(placed, merged.select("_bin", "_to"), "_bin", n_bins, "inner").drop("_bin").withColumnRenamed("_to", "_bin"))
+            bins = cut(merged.groupBy(F.col("_to").alias("_bin")).agg(F.sum("_bytes").alias("_bytes")))
+            n_bins = bins.count()
+            if n_bins > 0.9 * before:
+                break
         from pyspark.sql import Window as W
 
-        opened = placed.groupBy("_lot").agg((F.max("shard") + 1).alias("_n")).withColumn("_from", F.coalesce(F.sum("_n").over(W.orderBy("_lot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-        placed = placed.join(opened.select("_lot", "_from"), "_lot").select(key, "_part", (F.col("shard") + F.col("_from")).cast("int").alias("shard"))
+        shards = cut(bins.select("_bin", (F.row_number().over(W.orderBy("_bin")) - 1).cast("int").alias("shard")))
+        placed = attach(placed, shards, "_bin", n_bins, "inner").select(key, "_part", "shard")
     sharded = cut(rows.join(cut(placed), [key, "_part"]).drop("_part"))
     return number_rows(sharded, ["shard"], ["doc_id"], "slot", n_rows)
