@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -17,7 +16,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.shared import cut, freed, number_rows, python_rows
 
 #: Bytes of text that are split into words at once, and words and pieces whose ids a worker remembers.
-CHUNK_BYTES, MOST_WORDS, MOST_PIECES = 4_000_000, 350_000, 250_000
+CHUNK_BYTES, MOST_WORDS, MOST_PIECES = 3_000_000, 100_000, 200_000
+
+#: Pieces that are merged at once, and words that the tokenizer gets at once; both need many times their own bytes meanwhile.
+MERGE_PIECES, TOKENIZER_WORDS = 20_000, 4_000
 
 #: A rank that no merge has.
 NO_RANK = np.int64(1 << 40)
@@ -118,59 +120,102 @@ def gathered(begins: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.repeat(begins - before, lengths) + np.arange(int(lengths.sum()))
 
 
+class PieceMemory:
+    """Ids of pieces as Arrow and NumPy arrays: each entry costs its characters and ids, and whole arrays are looked up at once."""
+
+    def __init__(self, merger: PieceMerger, kind: np.dtype):
+        self.merger, self.kind = merger, kind
+        self.clear()
+
+    def clear(self) -> None:
+        self.pieces = pa.array([], pa.string())
+        self.ids = np.zeros(0, dtype=self.kind)
+        self.begins = np.zeros(0, dtype=np.int64)
+        self.lengths = np.zeros(0, dtype=np.int64)
+
+    def find(self, pieces: pa.Array) -> np.ndarray:
+        """The entry of each of several pieces; those not yet known are merged and added."""
+        if len(self.pieces) > MOST_PIECES:
+            self.clear()
+        distinct = pieces.dictionary_encode()
+        at = pc.index_in(distinct.dictionary, value_set=self.pieces)
+        if at.null_count:
+            missing = distinct.dictionary.filter(pc.is_null(at))
+            ids, lengths = [self.ids], [self.lengths]
+            for first in range(0, len(missing), MERGE_PIECES):
+                some_ids, some_lengths = self.merger.encode(missing[first : first + MERGE_PIECES].cast(pa.binary()).to_pylist())
+                ids.append(some_ids.astype(self.kind))
+                lengths.append(some_lengths)
+            self.ids, self.lengths = np.concatenate(ids), np.concatenate(lengths)
+            self.begins = np.cumsum(self.lengths) - self.lengths
+            number = len(self.pieces) + np.cumsum(pc.is_null(at).to_numpy(zero_copy_only=False)) - 1
+            found = np.where(pc.is_null(at).to_numpy(zero_copy_only=False), number, pc.fill_null(at, 0).to_numpy(zero_copy_only=False))
+            self.pieces = pa.concat_arrays([self.pieces, missing])
+        else:
+            found = at.to_numpy(zero_copy_only=False)
+        return found[distinct.indices.to_numpy(zero_copy_only=False)]
+
+
 class WordEncoder:
-    """Ids of texts by a word-end BPE tokenizer, remembering the ids of words.
+    """Ids of texts by a word-end BPE tokenizer.
 
     The tokenizer drops white space and never joins across it, so a text's ids are its words' ids in turn; a word of letters,
-    with full stops or commas behind, is in turn its lower-case letters and those. Such pieces are merged many at once; all
-    else goes through the tokenizer itself.
+    with full stops or commas behind, is in turn its lower-case letters and those. Such pieces are merged many at once and
+    remembered; all else goes through the tokenizer itself.
     """
 
+    #: Letters that are composed and have one lower-case letter, with full stops or commas behind.
+    LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+    PLAIN = f"^[{LETTERS}]+[.,]*$"
+    LOWER = "".join(map(chr, [*range(0x61, 0x7B), *range(0xDF, 0xF7), *range(0xF8, 0x100)]))
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.merger = PieceMerger(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 65536 else "<u4")
+        self.memory = PieceMemory(PieceMerger(path), self.kind)
         self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {"": b""}
 
     def _through_tokenizer(self, texts: list[str]) -> list[bytes]:
         """Ids of each of several texts without white space, in one call; a token's place tells its text."""
-        if not texts:
-            return []
         found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ids = np.array(found.ids, dtype=self.kind)
         starts = np.cumsum([0] + [len(t) + 1 for t in texts])
         at = np.fromiter((o[0] for o in found.offsets), dtype=np.int64, count=len(ids))
-        return self._cut(ids, np.searchsorted(at, starts))
-
-    def _cut(self, ids: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-        data, marks = ids.astype(self.kind).tobytes(), (bounds * self.kind.itemsize).tolist()
+        data, marks = ids.tobytes(), (np.searchsorted(at, starts) * self.kind.itemsize).tolist()
         return [data[a:b] for a, b in zip(marks[:-1], marks[1:])]
 
-    def _learn(self, new: list[str]) -> None:
+    def _odd(self, words: list[str]) -> list[bytes]:
+        """Ids of words that are not plain, remembered."""
+        new = [w for w in words if w and w not in self.words]
         if len(self.words) + len(new) > MOST_WORDS:
-            self.words.clear()
-        if len(self.pieces) > MOST_PIECES:
-            self.pieces = {"": b""}
-        joined = " ".join(new)
-        lower = joined.lower().split(" ")
-        if "\u03a3" in joined or not unicodedata.is_normalized("NFC", joined) or len(lower) != len(new):
-            # One of these words is lowered by its context or composed anew: look at each.
-            lower = ["" if "\u03a3" in w or not unicodedata.is_normalized("NFC", w) else w.lower() for w in new]
-        cores = [w.rstrip(".,") for w in lower]
-        plain = [core.isalpha() for core in cores]
-        stops = [w[len(core) :] for w, core in zip(lower, cores)]
-        parts = {core for core, ok in zip(cores, plain) if ok} | {s for s, ok in zip(stops, plain) if ok}
-        missing = list(parts - self.pieces.keys())
-        if missing:
-            ids, lengths = self.merger.encode([p.encode() for p in missing])
-            self.pieces.update(zip(missing, self._cut(ids, np.concatenate([[0], np.cumsum(lengths)]))))
-        get = self.pieces.__getitem__
-        self.words.update((w, get(core) + get(stop)) for w, core, stop, ok in zip(new, cores, stops, plain) if ok)
-        other = [w for w, ok in zip(new, plain) if not ok]
-        self.words.update(zip(other, self._through_tokenizer(other)))
+            self.words = {}
+            new = [w for w in words if w]
+        for first in range(0, len(new), TOKENIZER_WORDS):
+            some = new[first : first + TOKENIZER_WORDS]
+            self.words.update(zip(some, self._through_tokenizer(some)))
+        return [self.words.get(w, b"") for w in words]
+
+    def _word_ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of distinct words, one after the other, and each word's number of ids."""
+        plain = pc.match_substring_regex(words, self.PLAIN)
+        lower = pc.utf8_lower(words.filter(plain))
+        cores, stops = pc.utf8_rtrim(lower, ".,"), pc.utf8_ltrim(lower, self.LOWER)
+        stopped = pc.greater(pc.binary_length(stops), 0)
+        entries = self.memory.find(pa.concat_arrays([cores, stops.filter(stopped)]))
+        is_plain, has_stop = plain.to_numpy(zero_copy_only=False), stopped.to_numpy(zero_copy_only=False)
+        odd = self._odd(words.filter(pc.invert(plain)).to_pylist())
+        odd_lengths = np.fromiter(map(len, odd), dtype=np.int64, count=len(odd)) // self.kind.itemsize
+        # Each word is up to two ranges of this pool: its letters or all of it, and its stops.
+        pool = np.concatenate([self.memory.ids, np.frombuffer(b"".join(odd), dtype=self.kind)])
+        begins, lengths = np.zeros((len(words), 2), dtype=np.int64), np.zeros((len(words), 2), dtype=np.int64)
+        core, stop = entries[: len(cores)], entries[len(cores) :]
+        begins[is_plain, 0], lengths[is_plain, 0] = self.memory.begins[core], self.memory.lengths[core]
+        tails = np.flatnonzero(is_plain)[has_stop]
+        begins[tails, 1], lengths[tails, 1] = self.memory.begins[stop], self.memory.lengths[stop]
+        begins[~is_plain, 0], lengths[~is_plain, 0] = len(self.memory.ids) + np.cumsum(odd_lengths) - odd_lengths, odd_lengths
+        return pool[gathered(begins.ravel(), lengths.ravel())], lengths.sum(axis=1)
 
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text; null is empty. Words are told apart by Arrow, and only distinct ones looked up."""
@@ -182,20 +227,12 @@ class WordEncoder:
             last = max(first + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, "right")))
             split = pc.ascii_split_whitespace(texts[first:last])
             words = split.flatten().dictionary_encode()
-            distinct = words.dictionary.to_pylist()
-            new = [w for w in distinct if w and w not in self.words]
-            if new:
-                if len(self.words) + len(new) > MOST_WORDS:
-                    new = [w for w in distinct if w]
-                self._learn(new)
-            get = self.words.get
-            found = [get(w, b"") for w in distinct]
-            ids = np.frombuffer(b"".join(found), dtype=self.kind)
-            lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found)) // self.kind.itemsize
+            ids, lengths = self._word_ids(words.dictionary)
             begins = np.cumsum(lengths) - lengths
             index = words.indices.to_numpy(zero_copy_only=False)
             out = ids[gathered(begins[index], lengths[index])]
             bounds = np.concatenate([[0], np.cumsum(lengths[index])])[np.cumsum(np.concatenate([[0], pc.list_value_length(split).to_numpy(zero_copy_only=False)]))]
+            del split, words, index
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
                 yield out[a:b]
             first = last
