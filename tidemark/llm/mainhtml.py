@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from html import unescape
@@ -11,10 +12,10 @@ from pyspark.sql import DataFrame
 
 from tidemark.llm.shared import freed, python_rows
 
-TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
-MARKS = re.compile(r"""\b(class|id|role|aria-hidden|hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+GAP = re.compile(r"[\s/]*")
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*)(\s*=\s*)?")
+BARE = re.compile(r"[^\s>]*")
 
 # Fixed values of HTML: elements without content, with raw text, that make blocks, and that a start tag closes.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -26,16 +27,24 @@ BLOCK = frozenset(
 CLOSES_ITSELF = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDERS = frozenset("ul ol dl table tbody thead tfoot div article section body".split())
 
-#: Elements that are never part of an article.
-OUTSIDE = frozenset("nav header footer aside form script style noscript template textarea title iframe svg math button select menu dialog head".split())
+#: Elements that are never part of an article, and those that are not unless they hold the page's text.
+OUTSIDE = frozenset("nav footer script style noscript template textarea title iframe svg math button select menu head".split())
+MARKED = frozenset("header aside form dialog".split())
 
-#: Words in class, id or role that mark what is not part of an article.
+#: Words of a class, id or role that mark what is not part of an article.
 OUTSIDE_WORDS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent discussion disqus "
-    "footer header masthead menu modal nav navbar navigation newsletter notice notices pagination paywall popup promo related replies reply respond "
-    "search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget alert alertdialog complementary contentinfo".split()
+    "ad ads adv advert adverts advertisement advertising alert alertdialog banner breadcrumb breadcrumbs comment comments complementary consent "
+    "contentinfo cookie cookies dialog discussion disqus footer header masthead menu modal nav navbar navigation newsletter notice notices pagination "
+    "paywall popup promo related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 
+#: Words beside one of those that speak of a page's state, as in has-sidebar or comments-open.
+STATES = frozenset("has no not with without is are open closed on off enabled disabled active visible layout".split())
+
+#: A marked element that holds over this many characters outside of links is the article after all if the rest holds less than this
+#: share of them; one that is marked by a part of a word only, if it holds more than this share of the page.
+MARKED_CHARS, REST_SHARE, WEAK_SHARE = 140, 0.25, 0.25
+
 #: Points that a container begins with.
 FIRST_POINTS = {"article": 10.0, "main": 10.0, "section": 4.0, "div": 4.0, "td": 2.0, "blockquote": 2.0, "pre": 2.0, "ul": -3.0, "ol": -3.0, "dl": -3.0, "table": -3.0}
 
@@ -49,45 +58,123 @@ SIBLING_SHARE, SIBLING_CHARS, SIBLING_LINKS = 0.2, 80, 0.25
 PARENT_SHARE = 1.25
 
 
+#: Elements nested deeper than this are taken as part of the one around them, as browsers do; closing a tag looks no further up.
+MOST_DEPTH = 512
+
+
 class Node:
-    __slots__ = ("tag", "parent", "parts", "outside", "points", "chars", "link_chars")
+    __slots__ = ("tag", "parent", "parts", "outside", "mark", "depth", "points", "chars", "link_chars")
 
-    def __init__(self, tag: str, parent: Node | None, outside: bool):
-        self.tag, self.parent, self.outside = tag, parent, outside
+    def __init__(self, tag: str, parent: Node | None, outside: bool, mark: int = 0):
+        self.tag, self.parent, self.outside, self.mark = tag, parent, outside, mark
+        self.depth = parent.depth + 1 if parent else 0
         self.parts: list[Node | str] = []
         self.points = FIRST_POINTS.get(tag, 0.0)
         self.chars = self.link_chars = 0
 
 
-def _is_outside(tag: str, rest: str) -> bool:
-    if tag in OUTSIDE:
-        return True
-    if not rest or rest.isspace():
-        return False
-    for name, *values in MARKS.findall(rest):
-        name, value = name.lower(), "".join(values).lower()
-        if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
-        if name in ("class", "id", "role") and not OUTSIDE_WORDS.isdisjoint(re.split(r"[^a-z]+", value)):
-            return tag not in ("html", "body", "article", "main")
-    return False
+def mark_of(tag: str, attributes: dict[str, str]) -> int:
+    """How an element is marked as no part of an article: 2 by itself or a whole word of its class, id or role, 1 by a part of one, 0 not."""
+    if tag in MARKED:
+        return 2
+    if not attributes or tag in ("html", "body", "article", "main"):
+        return 0
+    if "hidden" in attributes or attributes.get("aria-hidden", "").strip().lower() == "true" or re.search(r"(^|;)\s*display\s*:\s*none", attributes.get("style", ""), re.I):
+        return 2
+    mark = 0
+    for name in ("class", "id", "role"):
+        for word in attributes.get(name, "").split():
+            if word.lower() in OUTSIDE_WORDS:
+                return 2
+            parts = re.findall(r"[A-Z]?[a-z]+|[A-Z]+", word)
+            ends = {parts[0].lower(), parts[-1].lower()} if parts else set()
+            if len(parts) > 1 and not OUTSIDE_WORDS.isdisjoint(ends) and STATES.isdisjoint(ends):
+                mark = 1
+    return mark
+
+
+class Scanner:
+    """Reads tags in one pass: each character is looked at a bounded number of times, whatever quotes or brackets are missing."""
+
+    def __init__(self, html: str):
+        self.html = html
+        self.missing: set[str] = set()
+
+    def find(self, what: str, at: int) -> int:
+        """Where ``what`` comes next, or -1; once it is missing, it is not looked for again."""
+        if what in self.missing:
+            return -1
+        found = self.html.find(what, at)
+        if found < 0:
+            self.missing.add(what)
+        return found
+
+    def raw_end(self, tag: str, at: int) -> tuple[int, int]:
+        """Where the end tag of an element with raw text begins and ends; -1 if there is none."""
+        found = None if tag in self.missing else re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(self.html, at)
+        if found is None:
+            self.missing.add(tag)
+            return -1, -1
+        return found.span()
+
+    def attributes(self, at: int) -> tuple[dict[str, str], int]:
+        """Attributes by name, the first of each, and the place behind the tag; -1 where the page ends within it.
+
+        A quoted value whose quote never ends goes to the tag's next bracket.
+        """
+        html, out = self.html, {}
+        while True:
+            at = GAP.match(html, at).end()
+            if at >= len(html):
+                return out, -1
+            if html[at] == ">":
+                return out, at + 1
+            name = ATTRIBUTE.match(html, at)
+            at, value = name.end(), ""
+            if name[2]:
+                quote = html[at : at + 1]
+                end = self.find(quote, at + 1) if quote in ("'", '"') and quote else -1
+                if end >= 0:
+                    value, at = html[at + 1 : end], end + 1
+                elif quote in ("'", '"') and quote:
+                    end = self.find(">", at)
+                    if end < 0:
+                        return out, -1
+                    value, at = html[at + 1 : end], end
+                else:
+                    bare = BARE.match(html, at)
+                    value, at = bare[0], bare.end()
+            out.setdefault(name[1].lower(), unescape(value))
 
 
 def parse(html: str) -> Node:
     """A tree of elements and decoded texts. Tags need not be closed or nested properly, and the page may end anywhere."""
-    root = here = Node("html", None, False)
-    at, raw_until = 0, None
-    for token in TOKEN.finditer(html):
-        if token.start() < at:
+    scanner, root = Scanner(html), Node("html", None, False)
+    here, at, text_from = root, 0, 0
+
+    def said(until: int) -> None:
+        if until > text_from:
+            here.parts.append(unescape(html[text_from:until]))
+
+    while (at := scanner.find("<", at)) >= 0:
+        following = html[at + 1 : at + 2]
+        name = NAME.match(html, at + 2 if following == "/" else at + 1)
+        if name is None and following not in ("!", "?", "/"):
+            if not following:
+                said(at)
+                return root
+            at += 1
             continue
-        if token.start() > at:
-            here.parts.append(unescape(html[at : token.start()]))
-        at = token.end()
-        tag = token["tag"]
-        if tag is None:
+        said(at)
+        if name is None:
+            comment = html.startswith("<!--", at)
+            end = scanner.find("-->" if comment else ">", at + 2)
+            at = text_from = len(html) if end < 0 else end + (3 if comment else 1)
             continue
-        tag = tag.lower()
-        if token["close"]:
+        tag = name[0].lower()
+        if following == "/":
+            end = scanner.find(">", name.end())
+            at = text_from = len(html) if end < 0 else end + 1
             node = here
             while node is not root and node.tag != tag:
                 if node.tag in HOLDERS and tag not in BLOCK:
@@ -97,6 +184,10 @@ def parse(html: str) -> Node:
             if node is not root:
                 here = node.parent
             continue
+        attributes, end = scanner.attributes(name.end())
+        if end < 0:  # the end of the page cuts the tag off
+            return root
+        at = text_from = end
         if tag in ("html", "body"):
             if tag == "body" and here.tag in ("html", "head"):
                 here = root
@@ -117,24 +208,71 @@ def parse(html: str) -> Node:
                 if node.tag in CLOSES_ITSELF[tag]:
                     here = node.parent
                 node = node.parent
-        node = Node(tag, here, here.outside or _is_outside(tag, token["rest"]))
+        node = Node(tag, here, here.outside or tag in OUTSIDE, mark_of(tag, attributes))
         here.parts.append(node)
-        if tag in VOID or token["rest"].endswith("/") and tag in ("svg", "math"):
+        if tag in VOID or (tag in ("svg", "math") and html[end - 2] == "/"):
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-            at = end.end() if end else len(html)
+            end = scanner.raw_end(tag, at)[1]
+            # Without an end tag, what is code to the end of the page is left out; other elements are taken as empty.
+            if end >= 0 or tag in ("script", "style"):
+                at = text_from = end if end >= 0 else len(html)
             continue
-        here = node
-    if at < len(html):
-        tail = html[at:]
-        cut = tail.rfind("<")
-        if cut >= 0 and re.match(r"</?[a-zA-Z!]|<\Z", tail[cut:]):
-            tail = tail[:cut]  # a tag that the end of the page cuts off
-        here.parts.append(unescape(tail))
+        if node.depth < MOST_DEPTH:
+            here = node
+        elif tag in BLOCK:
+            here.parts.append(" ")
+    said(len(html))
     return root
 
 
+def _count(root: Node) -> None:
+    """Characters of every element's text, white space as one space, and those in links."""
+    for node, done in _walk(root):
+        if done:
+            inner = [part for part in node.parts if isinstance(part, Node) and not part.outside]
+            node.chars = len(" ".join("".join(part for part in node.parts if isinstance(part, str)).split())) + sum(part.chars for part in inner)
+            node.link_chars = node.chars if node.tag == "a" else sum(part.link_chars for part in inner)
+
+
+def _marked(top: Node) -> list[Node]:
+    """The outermost marked elements below ``top``."""
+    found, stack = [], [part for part in top.parts if isinstance(part, Node)]
+    while stack:
+        node = stack.pop()
+        if node.outside:
+            continue
+        if node.mark:
+            found.append(node)
+        else:
+            stack.extend(part for part in node.parts if isinstance(part, Node))
+    return found
+
+
+def settle_marks(root: Node) -> None:
+    """Leave marked elements out, but for those that hold the page's text: there the mark speaks of the page, not of the element."""
+    _count(root)
+    plain = lambda node: node.chars - node.link_chars
+    marked = _marked(root)
+    rest = plain(root) - sum(map(plain, marked))
+    heap = [(-plain(node), k, node) for k, node in enumerate(marked)]
+    heapq.heapify(heap)
+    number = len(heap)
+    while heap:
+        size, _, node = heap[0]
+        weak = node.mark == 1 and -size > WEAK_SHARE * plain(root)
+        if not weak and (-size < MARKED_CHARS or rest >= REST_SHARE * -size):
+            break
+        heapq.heappop(heap)
+        inner = _marked(node)
+        rest += -size - sum(map(plain, inner))
+        for part in inner:
+            number += 1
+            heapq.heappush(heap, (-plain(part), number, part))
+    for _, _, node in heap:
+        node.outside = True
+
+
 def _walk(node: Node) -> Iterator[tuple[Node, bool]]:
     """Nodes inside the article's reach in page order, each before and (True) after what it holds; without recursion."""
     stack: list[tuple[Node, bool]] = [(node, False)]
@@ -176,6 +314,21 @@ def blocks(nodes: list[Node]) -> list[str]:
     return out
 
 
+def line_of(node: Node) -> str:
+    """The element's own text with that of its inline parts; a block within it is a space."""
+    held: list[str] = []
+    stack: list[Node | str] = list(reversed(node.parts))
+    while stack:
+        part = stack.pop()
+        if isinstance(part, str):
+            held.append(part)
+        elif part.tag in BLOCK:
+            held.append(" ")
+        elif not part.outside:
+            stack.extend(reversed(part.parts))
+    return " ".join("".join(held).split())
+
+
 def _score(root: Node) -> list[Node]:
     """Give points to the ancestors of paragraphs and return those that got any, in page order."""
     scored: dict[int, Node] = {}
@@ -190,7 +343,7 @@ def _score(root: Node) -> list[Node]:
         paragraph = node.tag in ("p", "pre", "td", "blockquote", "li") or (node.tag in CONTAINERS and text)
         if not paragraph:
             continue
-        said = " ".join("".join(part if isinstance(part, str) else "".join(blocks([part])) if part.tag not in BLOCK else " " for part in node.parts if isinstance(part, str) or not part.outside).split())
+        said = line_of(node)
         if not said:
             continue
         points = 1.0 + said.count(",") + min(len(said) / 100, 10.0)
@@ -215,11 +368,13 @@ def main_text(html: str | None) -> str:
 
     Paragraphs pass points for length and commas to their parent, half to its parent and a quarter beyond, discounted by the
     share of their text in links; the container of most points, again discounted, is kept with the siblings that look like it.
-    A page without paragraphs yields what it holds outside of menus and the like.
+    Elements that a class, id or role marks as no part of an article are left out, but for those that hold the page's text.
+    A page without paragraphs yields what it holds outside of menus and the like. The scan is linear in the page's length.
     """
     if not html:
         return ""
     root = parse(html)
+    settle_marks(root)
     candidates = _score(root)
     if not candidates:
         return " ".join(blocks([root]))
