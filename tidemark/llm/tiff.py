@@ -23,11 +23,18 @@ OLD_DEFLATE = 32946
 FIELD_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 LZW_CLEAR, LZW_END = 256, 257
 
+#: Bytes that a stored byte can become at most, by scheme: the longest run, word or match that a format's shortest code stands for.
+EXPANDS = {SCHEMES["none"]: 1, SCHEMES["packbits"]: 128, SCHEMES["lzw"]: 4096, SCHEMES["deflate"]: 1040, OLD_DEFLATE: 1040}
+
 
 class TiffError(ValueError):
     """The bytes are not a TIFF file that this module reads."""
 
 
+#: What reading a file that is broken, or made to break readers, can raise.
+UNREADABLE = (TiffError, struct.error, ValueError, IndexError, OverflowError, MemoryError)
+
+
 def pack_bits(data: bytes) -> bytes:
     """PackBits: runs of 2 to 128 equal bytes as (257 - n, byte), others as (n - 1, bytes)."""
     out, literal, at = bytearray(), bytearray(), 0
@@ -244,7 +251,7 @@ def _directory(data: bytes, at: int, order: str) -> tuple[dict[int, tuple], int]
 
 
 def _decode(data: bytes, fields: dict[int, tuple], order: str, number: int) -> Page:
-    one = lambda tag, other: fields.get(tag, (other,))[0]
+    one = lambda tag, other: (fields.get(tag) or (other,))[0]
     if WIDTH not in fields or HEIGHT not in fields:
         raise TiffError("no width or height")
     width, height, samples, bits = one(WIDTH, 0), one(HEIGHT, 0), one(SAMPLES, 1), one(BITS, 1)
@@ -264,6 +271,10 @@ def _decode(data: bytes, fields: dict[int, tuple], order: str, number: int) -> P
     across = -(-width // wide)
     if len(offsets) != across * -(-height // tall) or len(offsets) != len(counts):
         raise TiffError("the number of strips or tiles doesn't fit the size")
+    if sum(counts) > len(data):
+        raise TiffError("strips or tiles overlap")
+    if height * width * samples * kind.itemsize > EXPANDS.get(one(COMPRESSION, 1), 1) * sum(counts):
+        raise TiffError("a strip or tile is cut short")
     page = np.zeros((height, width, samples), dtype=kind.newbyteorder("="))
     for k, (offset, count) in enumerate(zip(offsets, counts)):
         top, left = k // across * tall, k % across * wide
@@ -282,7 +293,9 @@ def _decode(data: bytes, fields: dict[int, tuple], order: str, number: int) -> P
 def walk_pages(data: bytes | None) -> Iterator[Page]:
     """The pages in the order of their directories. What can't be read ends as a page with an error instead of samples.
 
-    A null or empty value has no pages. A directory that comes a second time ends the walk.
+    A null or empty value has no pages. A directory that comes a second time ends the walk. Samples of other than 8 or 16 bits,
+    separate planes, other predictors and other schemes are errors, as are strips that can't hold the samples they should:
+    a page takes no more memory than its file's strips can expand to, whatever its directory says.
     """
     if not data:
         return
@@ -297,11 +310,11 @@ def walk_pages(data: bytes | None) -> Iterator[Page]:
             fields, following = _directory(data, at, order)
             try:
                 yield _decode(data, fields, order, number)
-            except TiffError as error:
-                yield Page(number, 0, 0, 0, 0, b"", str(error))
+            except UNREADABLE as error:
+                yield Page(number, 0, 0, 0, 0, b"", str(error) or type(error).__name__)
             number, at = number + 1, following
-    except (TiffError, struct.error) as error:
-        yield Page(number, 0, 0, 0, 0, b"", str(error))
+    except UNREADABLE as error:
+        yield Page(number, 0, 0, 0, 0, b"", str(error) or type(error).__name__)
 
 
 def decode_tiff(media: DataFrame, key: str, content: str) -> DataFrame:
@@ -321,14 +334,24 @@ def decode_tiff(media: DataFrame, key: str, content: str) -> DataFrame:
 UNIT = 576
 
 #: Rows of a page at most, so that a page's samples are bounded whatever the text's length.
-PAGE_ROWS = 1024
+PAGE_ROWS = 64
+
+#: Ways to store a payload, dealt by its checksum: (scheme, predictor, rows a strip or (height, width) of a tile, byte order). Deflate comes
+#: most often, because the others are coded byte by byte in Python.
+LAYOUTS = [("lzw", 1, 16, "<"), ("lzw", 2, (32, 96), ">"), ("packbits", 1, (16, 192), "<"), ("packbits", 2, 16, ">"), ("none", 2, 16, "<"), ("none", 1, (64, 64), ">")]
+LAYOUTS += [("deflate", 1 + k % 2, [64, 16, (64, 192), (16, 576)][k % 4], "<>"[k % 3 == 0]) for k in range(58)]
 
 
-def store_payload(text: str | None) -> tuple[int, bytes]:
-    """The text's UTF-8 bytes with 255s up to a positive multiple of 576, as the samples of a TIFF file; and the bytes' number."""
+def store_payload(text: str | None) -> tuple[int, str, bytes]:
+    """The text's UTF-8 bytes with 255s up to a positive multiple of 576, as the samples of a TIFF file: the bytes' number, layout and file."""
     raw = (text or "").encode()
-    payload = np.frombuffer(raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT), dtype=np.uint8).reshape(-1, UNIT, 1)
-    return len(raw), encode_tiff([payload[k : k + PAGE_ROWS] for k in range(0, len(payload), PAGE_ROWS)])
+    payload = raw + b"\xff" * (-len(raw) % UNIT if raw else UNIT)
+    scheme, predictor, block, order = LAYOUTS[zlib.crc32(payload) % len(LAYOUTS)]
+    samples = np.frombuffer(payload, dtype=np.uint8).reshape(-1, UNIT, 1)
+    pages = [samples[k : k + PAGE_ROWS] for k in range(0, len(samples), PAGE_ROWS)]
+    shape = {"tile": block} if isinstance(block, tuple) else {"rows_per_strip": block}
+    layout = f"{scheme}, predictor {predictor}, {'tiles' if isinstance(block, tuple) else 'strips'}"
+    return len(raw), layout, encode_tiff(pages, scheme, predictor, order=order, **shape)
 
 
 def describe(pages: list[Page], payload: bytes) -> str:
@@ -347,22 +370,23 @@ def describe(pages: list[Page], payload: bytes) -> str:
 def text_media(docs: DataFrame) -> DataFrame:
     """Every text stored as a TIFF file, read back, and described; null is the empty text. See the query's columns.
 
-    Rows don't depend on each other: equal texts have equal values, and repeated rows, ties and empty tables are ordinary.
+    Rows don't depend on each other: equal texts have equal values, and repeated rows, ties and empty tables are ordinary. Long texts
+    have several pages, each of ``PAGE_ROWS`` rows at most. Columns other than doc_id and text are not read.
     """
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                n_bytes, media = store_payload(text)
+                n_bytes, layout, media = store_payload(text)
                 pages = list(walk_pages(media))
                 for page in pages:
                     if page.error:
                         raise TiffError(page.error)
                 payload = b"".join(p.data for p in pages)
-                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), describe(pages, payload)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"])
+                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), describe(pages, payload), layout, len(pages)))
+            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "layout", "n_pages"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, layout string, n_pages int"
     return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(convert), schema)
