@@ -325,36 +325,75 @@ def test_main_text_rows(spark):
 # Substring dedup
 
 
-def test_automaton_knows_every_substring():
+def test_automaton_knows_every_substring_and_its_earliest_place():
     rng = random.Random(3)
-    automaton, known = repeats.SuffixAutomaton(), set()
-    for _ in range(60):
-        sequence = [rng.randint(0, 2) for _ in range(rng.randint(1, 12))]
-        expected = []
-        for end in range(1, len(sequence) + 1):
-            expected.append(max((end - s for s in range(end) if tuple(sequence[s:end]) in known), default=0))
-        assert automaton.matching_statistics(sequence) == expected
-        automaton.add(sequence)
-        known |= {tuple(sequence[a:b]) for a in range(len(sequence)) for b in range(a + 1, len(sequence) + 1)}
+    automaton, ends = repeats.SuffixAutomaton(), defaultdict(list)
+    sequences = [[rng.randint(0, 2) for _ in range(rng.randint(1, 12))] for _ in range(60)]
+    for sequence in sequences:
+        place = rng.randint(0, 10**6)
+        automaton.add(sequence, place)
+        for a in range(len(sequence)):
+            for b in range(a + 1, len(sequence) + 1):
+                ends[tuple(sequence[a:b])].append(place + b - 1)
+    automaton.settle()
+    for sequence in [*sequences, *([rng.randint(0, 3) for _ in range(15)] for _ in range(20))]:
+        for end, (matched, first) in enumerate(automaton.matching_statistics(sequence, 4), 1):
+            assert (matched >= 4) == (end >= 4 and tuple(sequence[end - 4 : end]) in ends)
+            assert first == (min(ends[tuple(sequence[end - 4 : end])]) if matched >= 4 else repeats.NEVER)
+        for end, (matched, _) in enumerate(automaton.matching_statistics(sequence, 10**6), 1):
+            assert matched == max((end - s for s in range(end) if tuple(sequence[s:end]) in ends), default=0)
+
+
+def without_repeats(rows, window=20):
+    """Plain Python over (doc_id, text): the words left of each row, by (doc_id, text)."""
+    first = {}
+    for doc_id, text in rows:
+        words = words_of(text)
+        for start in range(len(words) - window + 1) if doc_id is not None else ():
+            key = tuple(words[start : start + window])
+            first[key] = min(first.get(key, (doc_id, start)), (doc_id, start))
+    out = {}
+    for doc_id, text in rows:
+        words = words_of(text)
+        gone = np.zeros(len(words), dtype=bool)
+        for start in range(len(words) - window + 1) if doc_id is not None else ():
+            gone[start : start + window] |= first[tuple(words[start : start + window])] < (doc_id, start)
+        out[doc_id, text] = b" ".join(w for w, g in zip(words, gone) if not g).decode(), int(gone.sum())
+    return out
+
+
+def held_against_plain_python(frame, rows):
+    out = frame.collect()
+    expected = without_repeats(rows)
+    assert len(out) == len(rows)
+    found = sorted((str(r["doc_id"]), r["n_words"], r["n_removed"], r["kept"]) for r in out)
+    assert found == sorted((str(d), len(words_of(t)), expected[d, t][1], expected[d, t][0]) for d, t in rows)
+    assert all(sum(s["end"] - s["start"] for s in r["spans"]) == r["n_removed"] for r in out)
 
 
 def test_repeated_windows_go(docs, nothing):
-    out = repeats.remove_repeats(docs, 20).toPandas().set_index("doc_id")
-    seen = set()
-    for doc_id, text in enumerate(TEXTS):
-        words = words_of(text)
-        gone = np.zeros(len(words), dtype=bool)
-        for start in range(len(words) - 19):
-            window = tuple(words[start : start + 20])
-            gone[start : start + 20] |= window in seen
-            seen.add(window)
-        row = out.loc[doc_id]
-        assert row["n_words"] == len(words) and row["n_removed"] == gone.sum(), doc_id
-        assert row["kept"].encode() == b" ".join(w for w, g in zip(words, gone) if not g)
-        assert sum(s["end"] - s["start"] for s in row["spans"]) == gone.sum()
+    held_against_plain_python(repeats.remove_repeats(docs, 20), list(enumerate(TEXTS)))
     assert repeats.remove_repeats(nothing).count() == 0
 
 
+@pytest.mark.parametrize("hot", [3, 1000])
+def test_repeated_windows_of_rows_that_share_an_id_or_have_none(spark, monkeypatch, hot):
+    monkeypatch.setattr(repeats, "HOT_PASSAGES", hot)
+    monkeypatch.setattr(repeats, "SHARD_PASSAGES", 50)
+    rng = random.Random(hot)
+    word = lambda: "".join(rng.choice("abcde") for _ in range(4))
+    phrase, line = " ".join(word() for _ in range(16)), " ".join(word() for _ in range(30))
+    say = lambda n: " ".join(word() for _ in range(n))
+    a, tail = say(60), say(30)
+    rows = [(1, a), (2, a + " " + tail), (2, "other " + say(40)), (2, say(7) + " " + tail), (2, a + " " + tail), (None, a), (3, None), (3, "")]
+    rows += [(10 + k % 150, f"{say(rng.randint(0, 30))} {phrase} {say(rng.randint(0, 30))}") for k in range(200)]
+    rows += [(400 + k, f"{say(5)} {line} {say(4)} {line}\n{line}") for k in range(60)] + [(500 + k, phrase + " x y z " + phrase) for k in range(5)]
+    rows += [(600, ("a " * 300)), (601, "a b " * 100 + say(10)), (602, "b a " * 90)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(d, t, "w") for d, t in rows], "doc_id long, text string, words string").repartition(5)
+    held_against_plain_python(repeats.remove_repeats(docs, 20), rows)
+
+
 # TIFF
 
 

@@ -2,36 +2,50 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import attach_lists, cut, freed, python_rows
+from tidemark.llm.shared import cut, freed, python_rows, release
 from tidemark.llm.shingles import rolling, split_words, text_chunks, word_hashes
 
 #: Words of the anchors by which equal windows find each other.
 ANCHOR = 8
 
-#: Distinct passages of a reference shard, about; its automaton is held in memory.
-SHARD_PASSAGES = 2_000
+#: Passages of a reference shard, about; its automaton is held in memory.
+SHARD_PASSAGES = 4_000
+
+#: Passages of one anchor from which they are dealt to shards window by window.
+HOT_PASSAGES = 1_000
+
+#: Passages that a task remembers, to send copies once.
+MOST_MET = 150_000
+
+#: Later than every position.
+NEVER = 1 << 62
 
 
 class SuffixAutomaton:
-    """A generalised suffix automaton over sequences of integers: every state stands for the substrings that end alike."""
+    """A generalised suffix automaton over sequences of integers: a state stands for substrings that end at the same places.
+
+    Each state knows the earliest place where its substrings end, once ``settle`` has passed places on along the links.
+    """
 
     def __init__(self):
         self.follow: list[dict[int, int]] = [{}]
         self.link = [-1]
         self.length = [0]
+        self.first = [NEVER]
 
     def _state(self, length: int, link: int, follow: dict[int, int]) -> int:
         self.follow.append(follow)
         self.link.append(link)
         self.length.append(length)
+        self.first.append(NEVER)
         return len(self.length) - 1
 
     def _split(self, above: int, symbol: int, state: int) -> int:
@@ -43,26 +57,37 @@ class SuffixAutomaton:
             above = self.link[above]
         return copy
 
-    def add(self, sequence: list[int]) -> None:
+    def add(self, sequence: list[int], place: int) -> None:
+        """A reference sequence whose first symbol is at ``place``."""
         last = 0
-        for symbol in sequence:
+        for end, symbol in enumerate(sequence, place):
             there = self.follow[last].get(symbol)
             if there is not None:
                 last = there if self.length[there] == self.length[last] + 1 else self._split(last, symbol, there)
-                continue
-            state = self._state(self.length[last] + 1, 0, {})
-            above = last
-            while above >= 0 and symbol not in self.follow[above]:
-                self.follow[above][symbol] = state
-                above = self.link[above]
-            if above >= 0:
-                there = self.follow[above][symbol]
-                self.link[state] = there if self.length[there] == self.length[above] + 1 else self._split(above, symbol, there)
-            last = state
-
-    def matching_statistics(self, sequence: list[int]) -> list[int]:
-        """For each position, the length of the longest substring ending there that the automaton knows."""
-        out, state, matched = [], 0, 0
+            else:
+                state = self._state(self.length[last] + 1, 0, {})
+                above = last
+                while above >= 0 and symbol not in self.follow[above]:
+                    self.follow[above][symbol] = state
+                    above = self.link[above]
+                if above >= 0:
+                    there = self.follow[above][symbol]
+                    self.link[state] = there if self.length[there] == self.length[above] + 1 else self._split(above, symbol, there)
+                last = state
+            if end < self.first[last]:
+                self.first[last] = end
+
+    def settle(self) -> None:
+        """Longer substrings end where their suffixes do: pass each state's earliest place on to the state it links to."""
+        first, link = self.first, self.link
+        for state in np.argsort(np.array(self.length), kind="stable")[:0:-1].tolist():
+            if first[state] < first[link[state]]:
+                first[link[state]] = first[state]
+
+    def matching_statistics(self, sequence: list[int], window: int) -> Iterator[tuple[int, int]]:
+        """For each position: the length of the longest known substring that ends there, up to one state above ``window``, and the earliest
+        place where the last ``window`` symbols end (NEVER if they are not known)."""
+        state = matched = 0
         for symbol in sequence:
             while state and symbol not in self.follow[state]:
                 state = self.link[state]
@@ -70,8 +95,10 @@ class SuffixAutomaton:
             if symbol in self.follow[state]:
                 state = self.follow[state][symbol]
                 matched += 1
-            out.append(matched)
-        return out
+            while state and self.length[self.link[state]] >= window:
+                state = self.link[state]
+                matched = self.length[state]
+            yield matched, self.first[state] if matched >= window else NEVER
 
 
 def passages(hashes: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -107,46 +134,105 @@ def _chunked(batch: pd.DataFrame, window: int) -> Iterator[tuple[int, list[list[
 
 
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
+    """The anchors of every row: anchor, doc_id, copy, start. Rows are told apart by doc_id and a hash of the text."""
+
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids = batch["doc_id"].to_numpy()
+            ids, copies = batch["doc_id"].to_numpy(), batch["copy"].to_numpy()
             for first, _, (anchor, text, start, _) in _chunked(batch, window):
-                yield pd.DataFrame({"anchor": anchor.view(np.int64), "doc_id": ids[first + text], "start": start.astype(np.int32)})
+                yield pd.DataFrame({"anchor": anchor.view(np.int64), "doc_id": ids[first + text], "copy": copies[first + text], "start": start.astype(np.int32)})
 
     kind = dict(docs.dtypes)["doc_id"]
-    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(rows), f"anchor long, doc_id {kind}, start int")
+    return python_rows(docs).mapInPandas(freed(rows), f"anchor long, doc_id {kind}, copy long, start int")
 
 
-def _passages(marked: DataFrame, window: int, with_text: bool) -> DataFrame:
-    """The passages of documents whose anchors occur more than once; ``marked`` has doc_id, text and the passages' starts."""
+def merged_runs(runs: list[tuple[int, int]]) -> list[int]:
+    """Runs of windows (first, number) in order of their starts, joined where they meet; each as one number, its first above its length."""
+    out: list[list[int]] = []
+    for start, n in runs:
+        if out and start <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], start + n)
+        else:
+            out.append([start, start + n])
+    return [start << 32 | end - start for start, end in out]
+
+
+def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
+    """Passages that other rows may share, by reference shard: shard, words, doc_id, copy, start, windows; and, without words, runs.
+
+    ``marked`` has the starts of such passages, doubled, plus one where the anchor is hot. A passage that its task has met at an
+    earlier place is a repeat as a whole, so it is reported at once and not sent: a shard gets a passage once a task at most.
+    Passages of a hot anchor are sent window by window, to shards by the window's words.
+    """
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        met: dict[bytes, tuple] = {}
+
+        def is_repeat(content: bytes, place: tuple) -> tuple[bool, bytes]:
+            """Whether the task has met the content at an earlier place, and the content's key."""
+            key = xxhash.xxh3_128_digest(content)
+            before = met.get(key, place)
+            if before >= place:
+                met[key] = place
+            return before < place, key
+
         for batch in batches:
-            ids, marks = batch["doc_id"].to_numpy(), batch["starts"].tolist()
+            ids, copies, marks = batch["doc_id"].tolist(), batch["copy"].tolist(), batch["starts"].tolist()
             for first, split, (anchor, text, start, size) in _chunked(batch, window):
-                wanted = np.zeros(len(start), dtype=bool)
-                bounds = np.searchsorted(text, np.arange(len(split) + 1))
-                for k in range(len(split)):
+                sent, repeats = [], []
+                bounds = np.searchsorted(text, np.arange(len(split) + 1)).tolist()
+                if len(met) > MOST_MET:
+                    met.clear()
+                for k, words in enumerate(split):
                     part = slice(bounds[k], bounds[k + 1])
-                    wanted[part] = np.isin(start[part], marks[first + k])
-                found = np.flatnonzero(wanted)
-                content = [b" ".join(split[text[i]][start[i] : start[i] + size[i] + window - 1]) for i in found.tolist()]
-                keys = [int.from_bytes(hashlib.blake2b(c, digest_size=8).digest(), "little", signed=True) for c in content]
-                out = pd.DataFrame({"anchor": anchor[found].view(np.int64), "content": np.array(keys, dtype=np.int64), "doc_id": ids[first + text[found]], "start": start[found].astype(np.int32), "windows": size[found].astype(np.int32)})
-                yield out.assign(words=content) if with_text else out
+                    asked = np.sort(np.asarray(marks[first + k], dtype=np.int64))
+                    at = np.minimum(np.searchsorted(asked >> 1, start[part]), len(asked) - 1)
+                    wanted = np.flatnonzero(asked[at] >> 1 == start[part])
+                    doc_id, copy, runs = ids[first + k], copies[first + k], []
+                    for i, hot in zip((bounds[k] + wanted).tolist(), (asked[at[wanted]] & 1).tolist()):
+                        begin, n = int(start[i]), int(size[i])
+                        content = b" ".join(words[begin : begin + n + window - 1])
+                        repeated, key = is_repeat(content, (doc_id, begin))
+                        if repeated:
+                            runs.append((begin, n))
+                        elif not hot:
+                            sent.append((int(anchor[i]) % shards, content, doc_id, copy, begin, n, None))
+                        else:
+                            for w in range(begin, begin + n):
+                                content = b" ".join(words[w : w + window])
+                                repeated, key = is_repeat(content, (doc_id, w)) if n > 1 else (False, key)
+                                if repeated:
+                                    runs.append((w, 1))
+                                else:
+                                    sent.append((int.from_bytes(key[:8], "little") % shards, content, doc_id, copy, w, 1, None))
+                    if runs:
+                        repeats.append((abs(copy) % shards, None, doc_id, copy, 0, 0, merged_runs(runs)))
+                yield pd.DataFrame(sent + repeats, columns=["shard", "words", "doc_id", "copy", "start", "windows", "runs"])
 
     kind = dict(marked.dtypes)["doc_id"]
-    return python_rows(marked).mapInPandas(freed(rows), f"anchor long, content long, doc_id {kind}, start int, windows int" + ", words binary" * with_text)
+    return python_rows(marked).mapInPandas(freed(rows), f"shard int, words binary, doc_id {kind}, copy long, start int, windows int, runs array<long>")
+
 
+def seen_runs(contents: list[bytes], places: list[tuple], window: int) -> list[list[tuple[int, int]]]:
+    """For the passages of a shard, at places (doc_id, start): the runs of windows of each that also start at an earlier place.
 
-def seen_windows(contents: list[bytes], window: int) -> list[list[int]]:
-    """For passages in corpus order: the windows of each, by start, that an earlier one has."""
-    automaton, numbers, out = SuffixAutomaton(), {}, []
-    for content in contents:
-        sequence = [numbers.setdefault(word, len(numbers)) for word in content.split(b" ")]
-        lengths = automaton.matching_statistics(sequence)
-        out.append([end - window + 1 for end, matched in enumerate(lengths) if matched >= window])
-        automaton.add(sequence)
+    The automaton holds every passage, each distinct one at its earliest place; then the passages stream through it.
+    """
+    rank = {doc_id: r << 32 for r, doc_id in enumerate(sorted({doc_id for doc_id, _ in places}))}
+    earliest: dict[bytes, int] = {}
+    for content, (doc_id, start) in zip(contents, places):
+        place = rank[doc_id] + start
+        earliest[content] = min(place, earliest.get(content, place))
+    automaton, numbers, sequences = SuffixAutomaton(), {}, {}
+    for content, place in earliest.items():
+        sequences[content] = [numbers.setdefault(word, len(numbers)) for word in content.split(b" ")]
+        automaton.add(sequences[content], place)
+    automaton.settle()
+    first = {content: [end for _, end in automaton.matching_statistics(sequence, window)][window - 1 :] for content, sequence in sequences.items()}
+    out = []
+    for content, (doc_id, start) in zip(contents, places):
+        ends = range(rank[doc_id] + start + window - 1, NEVER)
+        out.append([(start + k, 1) for k, (known, own) in enumerate(zip(first[content], ends)) if known < own])
     return out
 
 
@@ -157,44 +243,39 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     by one space. Words are runs of other than ASCII white space, unchanged. Windows are judged on the input.
 
     Windows are grouped into passages by anchor, so equal windows are in passages of equal anchors; anchors that occur once
-    are done with. Of equal passages the earliest stands for all. Passages with equal anchors meet in one reference shard, of a
-    bounded number of passages; there each, in corpus order, streams through the automaton of those before it and is then
-    added to it. A shard's automaton goes to the task that streams the passages for it and no other: every shard's to
-    every document would cost the square of the corpus.
-
-    A null or empty text has no words. Rows that share a doc_id are one document for the order: a window at the same start of
-    both is in neither earlier. Rows without doc_id keep everything and are nobody's reference. An empty table gives no rows.
+    are done with. Passages of equal anchors meet in one reference shard. A shard's suffix automaton holds the distinct passages
+    that are routed to it with the earliest place of each, and those passages stream through it: where a matching statistic
+    reaches ``window``, the state tells whether these words also end at an earlier place. An anchor of over ``HOT_PASSAGES``
+    passages is dealt over all shards window by window, by the windows' words, so a shard's size does not follow an anchor's.
+    A shard's automaton goes to the task that streams the passages for it and no other: every shard's to every document would
+    cost the square of the corpus.
+
+    A null or empty text has no words; very long texts are ordinary. Rows that share a doc_id are one document for the order, with
+    verdicts of their own: a window at the same start of both is in neither earlier. Rows without doc_id keep everything and
+    are nobody's reference. An empty table gives no rows. Columns other than doc_id and text are not read.
     """
-    ours = docs.select("doc_id", "text")
-    named = ours.where("doc_id is not null")
-    shared = cut(_anchors(named, window).groupBy("anchor").count().where("count > 1").select("anchor"))
-    n_shared = shared.count()
-    marked = _anchors(named, window).join(shared, "anchor", "left_semi").groupBy("doc_id").agg(F.collect_set("start").alias("starts"))
-    marked = cut(marked)
-    candidates = attach_lists(named, marked, "doc_id", "starts", "inner")
-    shards = max(1, -(-2 * n_shared // SHARD_PASSAGES))
-    distinct = _passages(candidates, window, True).groupBy("anchor", "content").agg(F.min(F.struct("doc_id", "start")).alias("first"), F.any_value("words").alias("words"))
+    spark = docs.sparkSession
+    ours = docs.select("doc_id", F.xxhash64("text").alias("copy"), "text")
+    named = ours.where("doc_id is not null and text is not null")
+    counts = _anchors(named, window).groupBy("anchor").count().where("count > 1")
+    shared = cut(counts.select("anchor", "count"))
+    shards = max(1, -(-(shared.agg(F.sum("count")).first()[0] or 0) // SHARD_PASSAGES))
+    release(spark)
+    mark = F.col("start") * 2 + (F.col("count") > HOT_PASSAGES).cast("int")
+    marked = cut(_anchors(named, window).join(shared, "anchor").groupBy("doc_id", "copy").agg(F.collect_set(mark).alias("starts")))
+    release(spark)
 
     def judge(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["first_doc", "first_start"], kind="stable")
-        seen = seen_windows(shard["words"].tolist(), window)
-        return shard[["anchor", "content", "first_doc", "first_start"]].assign(seen=seen)
+        sent = shard[shard["words"].notna()]
+        runs = seen_runs(sent["words"].tolist(), list(zip(sent["doc_id"].tolist(), sent["start"].tolist())), window)
+        found = sent[["doc_id", "copy"]].assign(runs=[merged_runs(r) for r in runs])
+        return pd.concat([found[[bool(r) for r in runs]], shard.loc[shard["words"].isna(), ["doc_id", "copy", "runs"]]])
 
     kind = dict(docs.dtypes)["doc_id"]
-    verdicts = (
-        distinct.select("anchor", "content", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start"), "words")
-        .withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        .groupBy("shard")
-        .applyInPandas(judge, f"anchor long, content long, first_doc {kind}, first_start int, seen array<int>")
-    )
-    verdicts = cut(verdicts)
-    placed = _passages(candidates, window, False).join(verdicts, ["anchor", "content"])
-    earliest = (F.col("doc_id") == F.col("first_doc")) & (F.col("start") == F.col("first_start"))
-    # A run of windows is one number, its first window above its length: what is joined to the texts stays small.
-    run = lambda start, n: F.shiftleft(start.cast("long"), 32).bitwiseOR(n.cast("long"))
-    runs = F.when(earliest, F.transform("seen", lambda k: run(F.col("start") + k, F.lit(1)))).otherwise(F.array(run(F.col("start"), F.col("windows"))))
-    repeats = placed.select("doc_id", F.explode(runs).alias("run")).groupBy("doc_id").agg(F.collect_set("run").alias("runs"))
-    repeats = cut(repeats)
+    verdicts = _routed(named.join(marked, ["doc_id", "copy"]), window, shards).groupBy("shard").applyInPandas(judge, f"doc_id {kind}, copy long, runs array<long>")
+    repeats = cut(verdicts.groupBy("doc_id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
+    del shared, marked, verdicts
+    release(spark)
 
     def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -217,4 +298,4 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
                 rows.append((doc_id, len(words), len(words) - len(kept), [{"start": b, "end": e} for b, e in zip(begin, end)], b" ".join(kept).decode()))
             yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
-    return python_rows(attach_lists(ours, repeats, "doc_id", "runs")).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")
+    return python_rows(ours.join(repeats, ["doc_id", "copy"], "left")).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")

@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "release", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -56,6 +56,12 @@ def freed(stage: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return run
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files and checkpoints of frames that are no longer used; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def word_count(text: Column) -> Column:
     """Number of words, JVM-side; null and blank texts have none.
 
