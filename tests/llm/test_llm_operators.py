@@ -205,7 +205,7 @@ def edit_distance_one(a, b):
 
 
 def test_lines_that_come_again_or_nearly_so_go(docs, nothing):
-    out = linededup.dedup_lines(docs).toPandas().set_index("doc_id")
+    out = linededup.dedup_lines(docs, 1, 20).toPandas().set_index("doc_id")
     first, order = {}, []
     for doc_id, text in enumerate(TEXTS):
         for line in (text or "").split("\n"):

@@ -23,20 +23,44 @@ def edited(rng, line, n):
     return line
 
 
-@pytest.mark.parametrize("max_edits, long_list", [(1, 64), (2, 64), (2, 3), (3, 64)])
-def test_lines_within_the_edit_bound_go_and_one_beyond_stays(spark, monkeypatch, max_edits, long_list):
+@pytest.mark.parametrize("max_edits, long_list, near_chars", [(1, 64, 20), (2, 64, 20), (2, 3, 20), (2, 3, 0), (1, 2, 0), (3, 64, 20), (3, 5, 9)])
+def test_lines_within_the_edit_bound_go_and_one_beyond_stays(spark, monkeypatch, max_edits, long_list, near_chars):
     monkeypatch.setattr(linededup, "LONG_LIST", long_list)
     rng = random.Random(max_edits)
     bases = ["".join(rng.choice("abcdefghij é") for _ in range(rng.randint(24, 60))).replace(" ", "x", 1) for _ in range(8)]
     lines = list(dict.fromkeys(line for base in bases for line in [base, *[edited(rng, base, k % 5) for k in range(14)]]))
     rng.shuffle(lines)
     lines += ["the cat sat on the mat today", "the dog sat on the mat today", "the cat sat on the mat todays!", "la maison de la rue verte", "de maison de la rue verte"]
-    far = [min((edit_distance(a, b) for b in lines[:i] if min(len(a), len(b)) >= 20), default=99) if len(a) >= 20 else 99 for i, a in enumerate(lines)]
+    lines += ["{", "ab", "abc", "mnopq", "mnopqrs", "xyz", "äöü€", "äö€", "12345678", "12345678901", "🙂🙂 words of a line here", "🙂🙂🙂 words of a line here"]
+    far = [min((edit_distance(a, b) for b in lines[:i] if min(len(a), len(b)) >= near_chars), default=99) if len(a) >= near_chars else 99 for i, a in enumerate(lines)]
     assert max_edits in far and max_edits + 1 in far
-    out = linededup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), max_edits=max_edits).collect()
+    out = linededup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), max_edits=max_edits, near_chars=near_chars).collect()
     assert {r["doc_id"] for r in out if r["n_removed"]} == {i for i, d in enumerate(far) if d <= max_edits}
 
 
+def test_lines_of_rows_that_share_an_id_and_of_clashing_columns(spark):
+    rows = [(1, "common line\nx"), (2, "common line\nrow A"), (2, "UNIQUE LINE\nrow B"), (2, "common line\nrow A"), (None, "common line"), (3, None), (4, ""), (5, "UNIQUE LINE\n\nnew one")]
+    names = "_removed string, kept string, n_lines int, n_removed string, _copy string, line string, counts int"
+    docs = spark.createDataFrame([(*r, "a", "b", 7, "c", "d", "e", 8) for r in rows], f"doc_id long, text string, {names}")
+    out = linededup.dedup_lines(docs).collect()
+    found = sorted((str(r["doc_id"]), str(r["kept"]), r["n_lines"], r["n_removed"], r["_removed"], r["_copy"], r["line"], r["counts"]) for r in out)
+    expected = [(1, "common line\nx", 2, 0), (2, "row A", 2, 1), (2, "UNIQUE LINE\nrow B", 2, 1), (2, "row A", 2, 1), (None, "common line", 1, 0), (3, None, 0, 0), (4, "", 0, 0), (5, "\nnew one", 2, 1)]
+    expected[2] = (2, "UNIQUE LINE", 2, 1)  # row B is within an edit of row A, which has the same doc_id and line number: neither is earlier
+    expected[2] = (2, "UNIQUE LINE\nrow B", 2, 0)
+    assert found == sorted((str(d), str(k), n, g, "a", "d", "e", 8) for d, k, n, g in expected)
+
+
+def test_long_near_equal_lines_take_time_in_proportion(spark):
+    import time
+
+    rng = random.Random(4)
+    line = "".join(rng.choice("abcdefghij éß") for _ in range(200_000))
+    docs = spark.createDataFrame([(1, line), (2, line[:70_000] + "#" + line[70_001:150_000] + line[150_001:]), (3, line[:9] + "###" + line[12:])], "doc_id long, text string")
+    began = time.time()
+    assert {r["doc_id"]: r["n_removed"] for r in linededup.dedup_lines(docs, 2).collect()} == {1: 0, 2: 1, 3: 0}
+    assert time.time() - began < 60
+
+
 def test_production_uses_a_bound_of_two(spark, tmp_path):
     import corpus_pipeline
     from tidemark.llm import queries

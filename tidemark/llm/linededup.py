@@ -4,18 +4,19 @@ from __future__ import annotations
 
 import itertools
 import json
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import attach, attach_lists, cut
+from tidemark.llm.shared import attach, attach_lists, cut, unused
 
-#: Shorter lines are compared for equality only: one edit would join different words.
-NEAR_CHARS = 20
-
-#: Lines with a key in common that are all compared with each other; more are keyed again by finer parts.
+#: Lines with a key in common that are compared with each other; more are keyed again by finer parts.
 LONG_LIST = 64
 
+#: Letters whose numbers tell lines apart before their edit distance is measured: one edit changes two of these numbers by one at most.
+LETTERS = ["e ", "t,", "a.", "oz", "nk", "iv", "sj", "rx", "hbq", "lpy", "dgw", "ucmf"]
+
 
 def _has_word(line: Column) -> Column:
     """Something is left without leading ASCII white space; cheaper than a pattern, which would decode the line."""
@@ -23,8 +24,8 @@ def _has_word(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines that have a word, by document and number."""
-    split = docs.where("doc_id is not null").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """Lines that have a word, by document, a hash of its text (rows may share a doc_id), and number."""
+    split = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("_copy"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     return split.where(_has_word(F.col("line")))
 
 
@@ -58,15 +59,31 @@ def _part_runs(max_edits: int, n_parts: int) -> list[tuple[int, list[tuple[int,
 
 
 def _part_keys(line: Column, length: Column, max_edits: int) -> list[Column]:
-    """Hashes of each of a line's ``max_edits`` + 1 parts, as the shorter and as the longer of a pair."""
+    """Hashes of each of a line's ``max_edits`` + 1 parts, as the shorter and as the longer of a pair.
+
+    Where all characters are single bytes, parts are cut from the bytes, without counting characters; the hashes are the same.
+    """
     keys, n = [], max_edits + 1
+    raw, single = line.cast("binary"), F.octet_length(line) == length
     for gap, [(part, _, shift)] in _part_runs(max_edits, n):
         m = length - gap
         start = F.floor(m * part / n).cast("int")
-        keys.append(F.xxhash64(F.lit(part), m, F.substring(line, start + 1 + shift, F.floor(m * (part + 1) / n).cast("int") - start)))
+        begin, size = start + 1 + shift, F.floor(m * (part + 1) / n).cast("int") - start
+        keys.append(F.when(single, F.xxhash64(F.lit(part), m, F.substring(raw, begin, size))).otherwise(F.xxhash64(F.lit(part), m, F.substring(line, begin, size))))
     return keys
 
 
+def _letter_counts(line: str) -> Column:
+    """How often each group of ``LETTERS`` occurs in a line."""
+    return F.array(*[(F.length(line) - F.length(F.translate(line, letters, ""))).cast("short") for letters in LETTERS])
+
+
+def _count_keys(key: str, counts: str, max_edits: int) -> Column:
+    """The key with the letter counts of two of ``2 * max_edits`` + 2 groups: lines within ``max_edits`` differ in all but two at most."""
+    groups = [[k for k in range(len(LETTERS)) if k % (2 * max_edits + 2) == g] for g in range(2 * max_edits + 2)]
+    return F.array(*[F.xxhash64(key, F.lit(f"{a} {b}"), *[F.get(counts, F.lit(k)) for k in groups[a] + groups[b]]) for a, b in itertools.combinations(range(len(groups)), 2)])
+
+
 def _fine_keys(line: str, max_edits: int, n_parts: int) -> Column:
     """The same by more parts, all but ``max_edits`` of which agree; one expression over a list, as there are many."""
     runs = [{"gap": gap, "runs": [{"b": b, "e": e, "s": s} for b, e, s in runs]} for gap, runs in _part_runs(max_edits, n_parts)]
@@ -86,76 +103,130 @@ def _lists(keyed: DataFrame) -> DataFrame:
     return members.join(members.groupBy("_key").agg(F.min("_id").alias("_first")), "_key")
 
 
-def _pairs(later: DataFrame, members: DataFrame) -> DataFrame:
-    return later.select("_id", "_key").join(members.select("_key", F.col("_id").alias("_witness")), "_key").where("_witness._at < _id._at").select("_id", "_witness").distinct()
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
 
+def _within(a: Column, b: Column, max_edits: int) -> Column:
+    """Whether two lines are within so many character edits.
+
+    What they have in common at both ends is found by halving and put aside. Of what is left, both first and both last characters
+    differ, so one edit is at the front and one at the back: for up to two edits, the rest must be equal. So long lines cost little more
+    than reading them; with more edits, the distance of what is left is computed.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(30, -1, -1)])
+
+    def common(end: Callable, most: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda n, step: F.when((n + step <= most) & (end(a, n + step) == end(b, n + step)), n + step).otherwise(n))
+
+    def left_over(prefix: Column, suffix: Column) -> Column:
+        m, n = F.length(a) - prefix - suffix, F.length(b) - prefix - suffix
+        near = F.greatest(m, n) <= max_edits
+        if max_edits == 2:
+            for (a1, b1), (a2, b2) in itertools.product([(1, 1), (1, 0), (0, 1)], repeat=2):
+                rest = m - a1 - a2
+                near |= (rest == n - b1 - b2) & (rest >= 0) & (F.substring(a, prefix + a1 + 1, rest) == F.substring(b, prefix + b1 + 1, rest))
+        elif max_edits > 2:
+            near |= F.levenshtein(F.substring(a, prefix + 1, m), F.substring(b, prefix + 1, n), max_edits) >= 0
+        return near
+
+    shorter = F.least(F.length(a), F.length(b))
+    return _bound(common(F.left, shorter), lambda prefix: _bound(common(F.right, shorter - prefix), lambda suffix: left_over(prefix, suffix)))
 
-def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
-    """Lines of the pairs that are within ``max_edits`` of their witness."""
-    other = texts.select(F.col("_id").alias("_witness"), F.col("line").alias("_earlier"))
-    return pairs.join(texts, "_id").join(other, "_witness").where(F.levenshtein("line", "_earlier", max_edits).between(0, max_edits)).select("_id").distinct()
 
+def _near_pairs(later: DataFrame, members: DataFrame, max_edits: int) -> DataFrame:
+    """Lines of ``later`` that are within ``max_edits`` of an earlier one of ``members`` with the same key; both have line and counts."""
+    other = members.select("_key", F.col("_id").alias("_other"), F.col("line").alias("_earlier"), F.col("counts").alias("_counts"))
+    near = (F.col("_other._at") < F.col("_id._at")) & (F.expr("aggregate(zip_with(counts, _counts, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)") <= 2 * max_edits)
+    return later.join(other, (later["_key"] == other["_key"]) & near & _within(F.col("line"), F.col("_earlier"), max_edits)).select("_id").distinct()
 
-def _firsts(members: DataFrame) -> DataFrame:
-    return members.select("_id", F.col("_first").alias("_witness")).where("_witness._at < _id._at").distinct()
 
+def _near_firsts(members: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
+    """Lines that are within ``max_edits`` of the earliest with the same key."""
+    firsts = members.select("_id", F.col("_first").alias("_other")).where("_other._at < _id._at").distinct()
+    other = texts.select(F.col("_id").alias("_other"), F.col("line").alias("_earlier"))
+    return firsts.join(texts, "_id").join(other, "_other").where(_within(F.col("line"), F.col("_earlier"), max_edits)).select("_id").distinct()
 
-def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int) -> DataFrame:
-    """Keys of distinct lines that are within ``max_edits`` of a line which comes earlier."""
+
+def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars: int) -> DataFrame:
+    """Keys of distinct lines that are within ``max_edits`` of a line which comes earlier.
+
+    Lists of up to ``LONG_LIST`` lines are compared inside the join. The lines of longer ones are held against the earliest; those that it
+    does not settle get finer keys, and at last those with letter counts, under which lines that differ elsewhere no longer meet.
+    """
     identity = F.struct("_at", "_k1", "_k2").alias("_id")
-    keyed = distinct.where(F.col("_len") >= NEAR_CHARS).select(identity, F.explode(F.array_distinct(F.array(*_key_names(max_edits)))).alias("_key"))
+    keyed = distinct.where(F.col("_len") >= near_chars).select(identity, F.explode(F.array_distinct(F.array(*_key_names(max_edits)))).alias("_key"))
     members = cut(_lists(keyed))
     chosen = cut(members.select("_id").distinct().select("_id", F.col("_id._at.doc_id").alias("doc_id"), F.col("_id._at.line_no").alias("line_no"), F.col("_id._k1").alias("_k1")))
     lines = _lines(docs).withColumn("_k1", F.xxhash64("line"))
-    texts = cut(attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"]))
-    short, long = members.where(F.col("_n") <= LONG_LIST), members.where(F.col("_n") > LONG_LIST)
-    near = cut(_verified(_pairs(short, short).union(_firsts(long)).distinct(), texts, max_edits))
-    crowded = cut(long.select("_id").distinct())
-    if crowded.count():
-        # Twice as many parts leave less of a line open and tell a long list's lines apart; a line with a witness looks for no other.
-        parts = _fine_keys("line", max_edits, 2 * (max_edits + 1))
-        fine = cut(_lists(texts.join(crowded, "_id", "left_semi").select("_id", F.explode(parts).alias("_key"))))
-        near = cut(near.union(_verified(_firsts(fine.join(near, "_id", "left_anti")), texts, max_edits)))
-        near = cut(near.union(_verified(_pairs(fine.join(near, "_id", "left_anti"), fine), texts, max_edits)))
-    return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
-
-
-def dedup_lines(docs: DataFrame, max_edits: int = 1) -> DataFrame:
+    texts = attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"])
+    texts = cut(texts.withColumn("counts", _letter_counts("line")))
+    near = None
+    for level in range(3):
+        short, long = members.where(F.col("_n") <= LONG_LIST).join(texts, "_id"), members.where(F.col("_n") > LONG_LIST)
+        if level == 2:
+            short = members.join(texts, "_id")
+        found = _near_pairs(short, short, max_edits)
+        if level < 2:
+            found = found.union(_near_firsts(long, texts, max_edits)).distinct()
+        near = cut(found if near is None else near.union(found).distinct())
+        crowded = cut(long.select("_id").distinct())
+        if level == 2 or not crowded.limit(1).count():
+            return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
+        # A crowded line that has a witness looks for no other, but may be one.
+        held = texts.join(crowded, "_id", "left_semi")
+        if level == 0:
+            # Twice as many parts leave less of a line open and tell a long list's lines apart.
+            fine = held.select("_id", F.explode(_fine_keys("line", max_edits, 2 * (max_edits + 1))).alias("_key"))
+        else:
+            fine = long.select("_id", "_key").join(texts, "_id").select("_id", F.explode(F.array_distinct(_count_keys("_key", "counts", max_edits))).alias("_key"))
+        members = cut(_lists(fine))
+
+
+def dedup_lines(docs: DataFrame, max_edits: int = 1, near_chars: int = 0) -> DataFrame:
     """Remove lines that equal an earlier line of the corpus, or are within ``max_edits`` character edits of one; earlier by (doc_id, line).
 
-    Adds n_lines (lines with a word), n_removed and ``kept``, the text without the removed lines; other columns stay.
-    Lines end at a line feed. Lines without a word stay and are not counted; lines under ``NEAR_CHARS`` characters are
-    removed only where they are equal. The verdict is on the input, not on what is left: a line goes if any earlier line is
-    near, removed or not. A null text has no lines and stays null; rows without doc_id stay as they are; rows that share a
-    doc_id are one document for the order, so the same line of both stays in both.
-
-    Only distinct lines are compared, and only those that share the text outside ``max_edits`` of their ``max_edits`` + 1 parts.
-    Up to ``LONG_LIST`` lines of one key are paired off. Of more, each is held against the earliest and then, if that is not
-    near, against those with which it shares the text outside ``max_edits`` of twice as many parts.
+    Adds n_lines (lines with a word), n_removed and ``kept``, the text without the removed lines; other columns stay, but for input
+    columns of these three names, which are replaced. Lines end at a line feed. Lines without a word stay and are not counted; lines under
+    ``near_chars`` characters (none unless it is given) are removed only where they are equal. The verdict is on the input, not on what is
+    left: a line goes if any earlier line is near, removed or not. A null text has no lines and stays null; rows without doc_id stay as
+    they are. Rows that share a doc_id are one document for the order, with lines of their own: the same line at the same number of both
+    stays in both. An empty table gives no rows; the cost of a line grows with its length, not its square.
+
+    Variants are lines without some of their parts: of ``max_edits`` + 1 parts of a line, all but one are deleted, and lines are compared if
+    what is left of both is equal. Deleting every choice of single characters would make some 54,000 variants of a line of 330 characters.
+    Up to ``LONG_LIST`` lines of one variant are compared with each other. Of more, each is held against the earliest and then, if that is
+    not near, against those with which it shares all but ``max_edits`` of twice as many parts, and at last against those of these that
+    also have equal numbers of some letters.
     """
-    if not 1 <= max_edits < NEAR_CHARS // 4:
+    if not 1 <= max_edits <= 4:
         raise ValueError("max_edits must be from 1 to 4")
+    docs = docs.drop("n_lines", "n_removed", "kept")
+    copy, gone = unused("_copy", docs), unused("_removed", docs)
     keyed = _with_key(_lines(docs))
     names = _key_names(max_edits)
-    near = F.col("_len") >= NEAR_CHARS
+    near = F.col("_len") >= near_chars
     marked = keyed.select("_k1", "_k2", "_len", F.struct("doc_id", "line_no").alias("_at"), *[F.when(near, key).alias(name) for name, key in zip(names, _part_keys(F.col("line"), F.col("_len"), max_edits))])
     distinct = cut(marked.groupBy("_k1", "_k2", "_len").agg(F.min("_at").alias("_at"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in names]))
-    near_keys = cut(_near_lines(distinct, docs, max_edits))
+    near_keys = cut(_near_lines(distinct, docs, max_edits, near_chars))
     flagged = attach(distinct, near_keys, ["_k1", "_k2"], near_keys.count()).where("_n > 1 or _is_near")
     flagged = cut(flagged.select("_k1", "_k2", "_len", F.col("_at").alias("_kept_at"), F.coalesce("_is_near", F.lit(False)).alias("_near")))
     removed = (
         attach(keyed.drop("line"), flagged, ["_k1", "_k2", "_len"], flagged.count(), "inner")
         .where(F.col("_near") | (F.struct("doc_id", "line_no") != F.col("_kept_at")))
-        .groupBy("doc_id")
-        .agg(F.collect_set("line_no").alias("_removed"))
+        .groupBy("doc_id", F.col("_copy").alias(copy))
+        .agg(F.collect_set("line_no").alias(gone))
     )
     removed = cut(removed)
     lines = F.split("text", "\n")
-    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_removed")), lambda i: F.get(lines, i))
+    left = F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone)), lambda i: F.get(lines, i))
     return (
-        attach_lists(docs, removed, "doc_id", "_removed")
-        .withColumn("n_lines", F.coalesce(F.size(F.filter(lines, _has_word)), F.lit(0)).cast("long"))
-        .withColumn("n_removed", F.coalesce(F.size("_removed"), F.lit(0)).cast("long"))
-        .withColumn("kept", F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n")))
-        .drop("_removed")
+        attach_lists(docs.withColumn(copy, F.xxhash64("text")), removed, ["doc_id", copy], gone)
+        .select(
+            *docs.columns,
+            F.coalesce(F.size(F.filter(lines, _has_word)), F.lit(0)).cast("long").alias("n_lines"),
+            F.coalesce(F.size(gone), F.lit(0)).cast("long").alias("n_removed"),
+            F.when(F.col(gone).isNull(), F.col("text")).otherwise(F.array_join(left, "\n")).alias("kept"),
+        )
     )

@@ -19,8 +19,8 @@ from tidemark.llm.tiff import text_media
 
 SHARDS = 40
 
-#: Character edits up to which a line counts as a copy of an earlier one.
-LINE_EDITS = 2
+#: Character edits up to which a line counts as a copy of an earlier one, if it has so many characters; two edits make any short word of another.
+LINE_EDITS, LINE_NEAR_CHARS = 2, 20
 
 
 def op1_shard_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,7 +60,7 @@ def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines, those removed, and a digest of what is left (of the empty text for null)."""
-    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), LINE_EDITS)
+    docs = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), LINE_EDITS, LINE_NEAR_CHARS)
     return docs.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
@@ -135,19 +135,33 @@ SELECT doc_id, size, source_size, target,
 FROM ordered
 """
 
+# Two lines are within 2 edits if, without what they have in common at both ends, an edit at the front and one at the back (each a change, a
+# deletion or an insertion) leave the same. Pairs that this looks at share one of three parts, which two edits can't all touch.
 OP4_SQL = r"""
 WITH numbered AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM documents),
 lines AS (SELECT * FROM numbered WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS at FROM lines GROUP BY line),
+firsts AS (SELECT line, length(line) AS n, min({'d': doc_id, 'l': line_no}) AS place FROM lines GROUP BY line),
+cuts AS (
+  SELECT line, n, place, n - gap AS m, gap, part, shift, substr(line, (n - gap) * part // 3 + 1 + shift, (n - gap) * (part + 1) // 3 - (n - gap) * part // 3) AS piece
+  FROM firsts, range(0, 3) g(gap), range(0, 3) p(part), range(-1, 3) s(shift)
+  WHERE n >= 20 AND n - gap >= 20 AND ((part = 0 AND shift = 0) OR (part = 1 AND abs(shift) + abs(gap - shift) <= 2) OR (part = 2 AND shift = gap))),
+pairs AS (
+  SELECT DISTINCT least(x.place, y.place) <> x.place AS x_later, x.line AS a, y.line AS b, x.n AS an, y.n AS bn
+  FROM cuts x JOIN cuts y ON x.gap = 0 AND x.shift = 0 AND x.m = y.m AND x.part = y.part AND x.piece = y.piece AND x.line <> y.line),
+fronts AS (
+  SELECT *, len(list_filter(range(1, least(an, bn) + 1), lambda i: left(a, i) = left(b, i))) AS p FROM pairs),
+backs AS (
+  SELECT *, len(list_filter(range(1, least(an, bn) - p + 1), lambda i: right(a, i) = right(b, i))) AS s FROM fronts),
+middles AS (
+  SELECT *, substr(a, p + 1, an - p - s) AS x, substr(b, p + 1, bn - p - s) AS y, an - p - s AS xn, bn - p - s AS yn FROM backs),
+edits(e, f) AS (VALUES (1, 1), (1, 0), (0, 1)),
 near AS (
-  SELECT DISTINCT a.line FROM firsts a JOIN firsts b ON b.n BETWEEN a.n - 1 AND a.n + 1 AND a.n >= 20 AND b.n >= 20 AND b.at < a.at
-    AND (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2)
-      OR right(a.line, least(a.n, b.n) - least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) - least(a.n, b.n) // 2))
-  WHERE len(list_filter(range(0, greatest(a.n, b.n)), lambda i: left(a.line, i) = left(b.line, i) AND
-    CASE WHEN a.n >= b.n THEN substr(a.line, i + 2) ELSE substr(a.line, i + 1) END = CASE WHEN b.n >= a.n THEN substr(b.line, i + 2) ELSE substr(b.line, i + 1) END)) > 0),
+  SELECT DISTINCT CASE WHEN x_later THEN a ELSE b END AS line FROM middles, edits front, edits back
+  WHERE greatest(xn, yn) <= 2 OR (xn - front.e - back.e = yn - front.f - back.f AND xn >= front.e + back.e
+    AND substr(x, front.e + 1, xn - front.e - back.e) = substr(y, front.f + 1, yn - front.f - back.f))),
 judged AS (
-  SELECT l.doc_id, l.line_no, ({'d': l.doc_id, 'l': l.line_no} <> f.at OR n.line IS NOT NULL) AS gone
+  SELECT l.doc_id, l.line_no, ({'d': l.doc_id, 'l': l.line_no} <> f.place OR n.line IS NOT NULL) AS gone
   FROM lines l JOIN firsts f ON f.line = l.line LEFT JOIN near n ON n.line = l.line),
 kept AS (
   SELECT x.doc_id, string_agg(x.line, chr(10) ORDER BY x.line_no) AS kept

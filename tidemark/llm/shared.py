@@ -10,16 +10,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
+from pyspark.sql import types as T
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "release", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "release", "few", "unused", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
-#: Rows that a side may have to be broadcast; beyond it the same join shuffles.
-BROADCAST_ROWS = 500_000
+#: Bytes that a side may have to be broadcast; beyond it the same join shuffles.
+BROADCAST_BYTES = 32_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,23 +101,40 @@ def number_rows(rows: DataFrame, group: list[str], order: list[str], name: str,
     )
 
 
-def keep_ids(rows: DataFrame, ids: DataFrame, key: str, n_ids: int) -> DataFrame:
-    """Rows whose key is among ``ids``: map-side while there are few ids, by a shuffle beyond."""
-    few = ids.select(key)
-    return rows.join(F.broadcast(few) if n_ids <= BROADCAST_ROWS else few, key, "left_semi")
+def row_bytes(rows: DataFrame) -> int:
+    """About what a row of fixed columns takes in a broadcast table."""
+    def width(kind: T.DataType) -> int:
+        return sum(width(f.dataType) for f in kind.fields) + 16 if isinstance(kind, T.StructType) else 32 if isinstance(kind, (T.StringType, T.BinaryType)) else 8
+
+    return 32 + sum(width(f.dataType) for f in rows.schema.fields)
+
+
+def few(rows: DataFrame, n_rows: int) -> bool:
+    """Whether a side may be broadcast."""
+    return n_rows * row_bytes(rows) <= BROADCAST_BYTES
 
 
-#: Numbers in arrays that a side may have beside its rows to be broadcast: some tens of megabytes.
-BROADCAST_NUMBERS = 5_000_000
+def unused(name: str, rows: DataFrame) -> str:
+    """A column name that the rows don't have."""
+    there = {c.lower() for c in rows.columns}
+    while name in there:
+        name += "_"
+    return name
+
+
+def keep_ids(rows: DataFrame, ids: DataFrame, key: str, n_ids: int) -> DataFrame:
+    """Rows whose key is among ``ids``: map-side while there are few ids, by a shuffle beyond."""
+    side = ids.select(key)
+    return rows.join(F.broadcast(side) if few(side, n_ids) else side, key, "left_semi")
 
 
-def attach_lists(rows: DataFrame, facts: DataFrame, key: str, numbers: str, how: str = "left") -> DataFrame:
-    """Join facts with an array of numbers a key: map-side if both rows and numbers are few, by a shuffle beyond."""
+def attach_lists(rows: DataFrame, facts: DataFrame, key: str | list[str], numbers: str, how: str = "left") -> DataFrame:
+    """Join facts with an array of numbers a key: map-side if rows and numbers are few in bytes, by a shuffle beyond."""
     n_rows, n_numbers = facts.agg(F.count("*"), F.coalesce(F.sum(F.size(numbers)), F.lit(0))).first()
-    few = n_rows <= BROADCAST_ROWS and n_numbers <= BROADCAST_NUMBERS
-    return rows.join(F.broadcast(facts) if few else facts, key, how)
+    small = n_rows * row_bytes(facts) + 8 * n_numbers <= BROADCAST_BYTES
+    return rows.join(F.broadcast(facts) if small else facts, key, how)
 
 
-def attach(rows: DataFrame, facts: DataFrame, key: str, n_facts: int, how: str = "left", limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Join ``facts`` (one row a key) to rows: map-side while there are few, by a shuffle beyond."""
-    return rows.join(F.broadcast(facts) if n_facts <= limit else facts, key, how)
+def attach(rows: DataFrame, facts: DataFrame, key: str | list[str], n_facts: int, how: str = "left") -> DataFrame:
+    """Join ``facts`` (one row a key) to rows: map-side while they are few in bytes, by a shuffle beyond."""
+    return rows.join(F.broadcast(facts) if few(facts, n_facts) else facts, key, how)
