@@ -12,7 +12,7 @@ from tidemark.llm.linededup import dedup_lines
 from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import decision_column, fit_quality_rules, text_statistics, with_ratios
-from tidemark.llm.queries import LINE_EDITS, tokenizer_path
+from tidemark.llm.queries import LINE_EDITS, LINE_NEAR_CHARS, tokenizer_path
 from tidemark.llm.shared import cut, ensure_checkpoint_dir, keep_ids, table, word_count
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -36,7 +36,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one has or nearly has; a document that consisted of such lines goes."""
-    left = dedup_lines(docs.select(*COLUMNS), LINE_EDITS).where("n_removed = 0 or n_removed < n_lines")
+    left = dedup_lines(docs.select(*COLUMNS), LINE_EDITS, LINE_NEAR_CHARS).where("n_removed = 0 or n_removed < n_lines")
     changed = F.col("n_removed") > 0
     return left.select("doc_id", F.col("kept").alias("text"), "lang", "source", F.when(changed, F.length("kept").cast("long")).otherwise(F.col("n_chars")).alias("n_chars"))
 
