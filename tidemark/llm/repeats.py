@@ -6,12 +6,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, freed, python_rows, release
-from tidemark.llm.shingles import rolling, split_words, text_chunks, word_hashes
+from tidemark.llm.shingles import hashed_words, rolling, split_words
 
 #: Words of the anchors by which equal windows find each other.
 ANCHOR = 8
@@ -59,23 +61,27 @@ class SuffixAutomaton:
 
     def add(self, sequence: list[int], place: int) -> None:
         """A reference sequence whose first symbol is at ``place``."""
+        follow, link, length, first = self.follow, self.link, self.length, self.first
         last = 0
         for end, symbol in enumerate(sequence, place):
-            there = self.follow[last].get(symbol)
+            there = follow[last].get(symbol)
             if there is not None:
-                last = there if self.length[there] == self.length[last] + 1 else self._split(last, symbol, there)
+                last = there if length[there] == length[last] + 1 else self._split(last, symbol, there)
             else:
-                state = self._state(self.length[last] + 1, 0, {})
-                above = last
-                while above >= 0 and symbol not in self.follow[above]:
-                    self.follow[above][symbol] = state
-                    above = self.link[above]
+                state, above = len(length), last
+                follow.append({})
+                link.append(0)
+                length.append(length[last] + 1)
+                first.append(NEVER)
+                while above >= 0 and symbol not in follow[above]:
+                    follow[above][symbol] = state
+                    above = link[above]
                 if above >= 0:
-                    there = self.follow[above][symbol]
-                    self.link[state] = there if self.length[there] == self.length[above] + 1 else self._split(above, symbol, there)
+                    there = follow[above][symbol]
+                    link[state] = there if length[there] == length[above] + 1 else self._split(above, symbol, there)
                 last = state
-            if end < self.first[last]:
-                self.first[last] = end
+            if end < first[last]:
+                first[last] = end
 
     def settle(self) -> None:
         """Longer substrings end where their suffixes do: pass each state's earliest place on to the state it links to."""
@@ -84,21 +90,25 @@ class SuffixAutomaton:
             if first[state] < first[link[state]]:
                 first[link[state]] = first[state]
 
-    def matching_statistics(self, sequence: list[int], window: int) -> Iterator[tuple[int, int]]:
+    def matching_statistics(self, sequence: list[int], window: int) -> list[tuple[int, int]]:
         """For each position: the length of the longest known substring that ends there, up to one state above ``window``, and the earliest
         place where the last ``window`` symbols end (NEVER if they are not known)."""
-        state = matched = 0
+        follow, link, length, first = self.follow, self.link, self.length, self.first
+        out, state, matched = [], 0, 0
         for symbol in sequence:
-            while state and symbol not in self.follow[state]:
-                state = self.link[state]
-                matched = self.length[state]
-            if symbol in self.follow[state]:
-                state = self.follow[state][symbol]
+            following = follow[state].get(symbol)
+            while following is None and state:
+                state = link[state]
+                matched = length[state]
+                following = follow[state].get(symbol)
+            if following is not None:
+                state = following
                 matched += 1
-            while state and self.length[self.link[state]] >= window:
-                state = self.link[state]
-                matched = self.length[state]
-            yield matched, self.first[state] if matched >= window else NEVER
+                while length[link[state]] >= window:
+                    state = link[state]
+                    matched = length[state]
+            out.append((matched, first[state] if matched >= window else NEVER))
+        return out
 
 
 def passages(hashes: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -125,25 +135,18 @@ def passages(hashes: np.ndarray, ends: np.ndarray, window: int) -> tuple[np.ndar
     return anchors[at[first]], text[first], starts[first] - begin[text[first]], sizes
 
 
-def _chunked(batch: pd.DataFrame, window: int) -> Iterator[tuple[int, list[list[bytes]], tuple]]:
-    texts = batch["text"].tolist()
-    for first, last in text_chunks(texts):
-        split = [split_words(text, False) for text in texts[first:last]]
-        ends = np.cumsum([len(words) for words in split])
-        yield first, split, passages(word_hashes([w for words in split for w in words]), ends, window)
-
-
 def _anchors(docs: DataFrame, window: int) -> DataFrame:
     """The anchors of every row: anchor, doc_id, copy, start. Rows are told apart by doc_id and a hash of the text."""
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, copies = batch["doc_id"].to_numpy(), batch["copy"].to_numpy()
-            for first, _, (anchor, text, start, _) in _chunked(batch, window):
-                yield pd.DataFrame({"anchor": anchor.view(np.int64), "doc_id": ids[first + text], "copy": copies[first + text], "start": start.astype(np.int32)})
+            for first, hashes, ends in hashed_words(batch.column("text").cast(pa.string())):
+                anchor, text, start, _ = passages(hashes, ends, window)
+                at = pa.array(first + text)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), batch.column("doc_id").take(at), batch.column("copy").take(at), pa.array(start.astype(np.int32))], names=["anchor", "doc_id", "copy", "start"])
 
     kind = dict(docs.dtypes)["doc_id"]
-    return python_rows(docs).mapInPandas(freed(rows), f"anchor long, doc_id {kind}, copy long, start int")
+    return python_rows(docs).mapInArrow(freed(rows), f"anchor long, doc_id {kind}, copy long, start int")
 
 
 def merged_runs(runs: list[tuple[int, int]]) -> list[int]:
@@ -165,7 +168,7 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
     Passages of a hot anchor are sent window by window, to shards by the window's words.
     """
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         met: dict[bytes, tuple] = {}
 
         def is_repeat(content: bytes, place: tuple) -> tuple[bool, bytes]:
@@ -177,15 +180,17 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
             return before < place, key
 
         for batch in batches:
-            ids, copies, marks = batch["doc_id"].tolist(), batch["copy"].tolist(), batch["starts"].tolist()
-            for first, split, (anchor, text, start, size) in _chunked(batch, window):
+            ids, copies, marks, texts = (batch.column(c).to_pylist() if c != "starts" else batch.column(c) for c in ("doc_id", "copy", "starts", "text"))
+            for first, hashes, ends in hashed_words(batch.column("text").cast(pa.string())):
+                split = [split_words(t, False) for t in texts[first : first + len(ends)]]
+                anchor, text, start, size = passages(hashes, ends, window)
                 sent, repeats = [], []
                 bounds = np.searchsorted(text, np.arange(len(split) + 1)).tolist()
                 if len(met) > MOST_MET:
                     met.clear()
                 for k, words in enumerate(split):
                     part = slice(bounds[k], bounds[k + 1])
-                    asked = np.sort(np.asarray(marks[first + k], dtype=np.int64))
+                    asked = np.sort(marks[first + k].values.to_numpy())
                     at = np.minimum(np.searchsorted(asked >> 1, start[part]), len(asked) - 1)
                     wanted = np.flatnonzero(asked[at] >> 1 == start[part])
                     doc_id, copy, runs = ids[first + k], copies[first + k], []
@@ -207,10 +212,12 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
                                     sent.append((int.from_bytes(key[:8], "little") % shards, content, doc_id, copy, w, 1, None))
                     if runs:
                         repeats.append((abs(copy) % shards, None, doc_id, copy, 0, 0, merged_runs(runs)))
-                yield pd.DataFrame(sent + repeats, columns=["shard", "words", "doc_id", "copy", "start", "windows", "runs"])
+                columns = list(zip(*sent, *repeats)) or [()] * 7
+                kinds = [pa.int32(), pa.binary(), batch.column("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(columns, kinds)], names=["shard", "words", "doc_id", "copy", "start", "windows", "runs"])
 
     kind = dict(marked.dtypes)["doc_id"]
-    return python_rows(marked).mapInPandas(freed(rows), f"shard int, words binary, doc_id {kind}, copy long, start int, windows int, runs array<long>")
+    return python_rows(marked).mapInArrow(freed(rows), f"shard int, words binary, doc_id {kind}, copy long, start int, windows int, runs array<long>")
 
 
 def seen_runs(contents: list[bytes], places: list[tuple], window: int) -> list[list[tuple[int, int]]]:
@@ -228,7 +235,7 @@ def seen_runs(contents: list[bytes], places: list[tuple], window: int) -> list[l
         sequences[content] = [numbers.setdefault(word, len(numbers)) for word in content.split(b" ")]
         automaton.add(sequences[content], place)
     automaton.settle()
-    first = {content: [end for _, end in automaton.matching_statistics(sequence, window)][window - 1 :] for content, sequence in sequences.items()}
+    first = {content: [end for _, end in automaton.matching_statistics(sequence, window)[window - 1 :]] for content, sequence in sequences.items()}
     out = []
     for content, (doc_id, start) in zip(contents, places):
         ends = range(rank[doc_id] + start + window - 1, NEVER)
@@ -265,14 +272,15 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     marked = cut(_anchors(named, window).join(shared, "anchor").groupBy("doc_id", "copy").agg(F.collect_set(mark).alias("starts")))
     release(spark)
 
-    def judge(shard: pd.DataFrame) -> pd.DataFrame:
-        sent = shard[shard["words"].notna()]
-        runs = seen_runs(sent["words"].tolist(), list(zip(sent["doc_id"].tolist(), sent["start"].tolist())), window)
-        found = sent[["doc_id", "copy"]].assign(runs=[merged_runs(r) for r in runs])
-        return pd.concat([found[[bool(r) for r in runs]], shard.loc[shard["words"].isna(), ["doc_id", "copy", "runs"]]])
+    def judge(shard: pa.Table) -> pa.Table:
+        sent = shard.filter(pc.is_valid(shard["words"]))
+        runs = seen_runs(sent["words"].to_pylist(), list(zip(sent["doc_id"].to_pylist(), sent["start"].to_pylist())), window)
+        found = sent.select(["doc_id", "copy"]).append_column("runs", pa.array([merged_runs(r) for r in runs], pa.list_(pa.int64())))
+        whole = shard.filter(pc.is_null(shard["words"])).select(["doc_id", "copy", "runs"])
+        return pa.concat_tables([found.filter(pc.greater(pc.list_value_length(found["runs"]), 0)), whole], promote_options="permissive")
 
     kind = dict(docs.dtypes)["doc_id"]
-    verdicts = _routed(named.join(marked, ["doc_id", "copy"]), window, shards).groupBy("shard").applyInPandas(judge, f"doc_id {kind}, copy long, runs array<long>")
+    verdicts = _routed(named.join(marked, ["doc_id", "copy"]), window, shards).groupBy("shard").applyInArrow(judge, f"doc_id {kind}, copy long, runs array<long>")
     repeats = cut(verdicts.groupBy("doc_id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
     del shared, marked, verdicts
     release(spark)

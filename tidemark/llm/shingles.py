@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 # Fixed odd multipliers that spread the words of a shingle and the bits of its hash.
@@ -47,6 +49,28 @@ def split_words(text: str | None, lower: bool) -> list[bytes]:
     return (raw.lower() if lower else raw).split()
 
 
+def hashed_words(texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Word hashes of whole texts, about ``CHUNK_CHARS`` bytes at once: the first text's number, the hashes, and the texts' ends in them.
+
+    Words are unchanged and as in ``split_words``. Arrow tells them apart, so each distinct word of a chunk is hashed once.
+    """
+    texts = pc.fill_null(texts, "")
+    bytes_upto = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(texts):
+        before = bytes_upto[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(bytes_upto, before + CHUNK_CHARS, "right")))
+        split = pc.ascii_split_whitespace(texts[first:last])
+        words = split.flatten().dictionary_encode()
+        distinct = words.dictionary.cast(pa.binary()).to_pylist()
+        index = words.indices.to_numpy(zero_copy_only=False)
+        there = np.fromiter(map(len, distinct), dtype=np.int64, count=len(distinct))[index] > 0
+        upto = np.concatenate([[0], np.cumsum(there)])
+        ends = upto[np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))]
+        yield first, word_hashes(distinct)[index[there]], ends
+        first = last
+
+
 def text_chunks(texts: list[str | None]) -> Iterator[tuple[int, int]]:
     """Ranges of texts of about ``CHUNK_CHARS`` characters."""
     first = chars = 0
