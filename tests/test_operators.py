@@ -39,7 +39,10 @@ def test_filter_arguments_are_checked():
     for bad in (lambda: filters.comma_values(" , "), lambda: filters.contains_any_case("x", " "), lambda: filters.checked_keys(["Bad"])):
         with pytest.raises(ValueError):
             bad()
-    assert filters.escape_like("50%_\\") == "50\\%\\_\\\\"
+    for bad in (lambda: filters.key_list("a,,b"), lambda: filters.key_list(""), lambda: filters.checked_keys(["abc\n"]), lambda: filters.checked_keys(["a"] * 51)):
+        with pytest.raises(ValueError):
+            bad()
+    assert filters.key_list(" b, a,b ") == ["b", "a"] and filters.key_list(None) is None
 
 
 def test_rules_on_null_and_blank_codes(spark):
@@ -126,6 +129,7 @@ def test_functions(spark):
     assert value(tx.report_period(F.lit("2024 Q3 report"), F.lit("quarterly"))) == "2024Q3" and value(tx.report_period(F.lit("none"), F.lit("annual"))) is None
     assert value(tx.suspicious_glyphs(F.lit("!@#$%^&*()_+{}|:<>?~a!b@c#d"))) is True
     assert [py.ordinal_value(t) for t in ("十", "二十三", "一百零五", "7", "x")] == [10, 23, 105, 7, None]
+    assert [py.ordinal_value(t) for t in ("零", "一二", "三万", "十万零两千〇三", "零百", "", None, "万", "五x")] == [None, 2, 30000, 102003, 100, None, None, None, None]
     assert py.visible_text("<p>a<script>x</script> b<td>c</td>") == "a b c" and py.visible_segments("<td>a</td><td>b</td>") == ["a", "b"]
     assert [c["role"] for c in py.cell_roles("<table><tr><td>n</td><td>v</td><td>w</td></tr><tr><td>x</td><td>1</td><td>2</td></tr></table>")][:4] == ["header", "header", "header", "value"]
     assert py.canonical_json('{"b": 1, "a": "é"}') == '{"a":"é","b":1}' and "NaN" in py.canonical_json('{"a": NaN}', False)

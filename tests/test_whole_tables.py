@@ -74,7 +74,8 @@ def events(spark, tmp_path_factory):
 
 def test_canonical_json_of_every_event(spark, events):
     folder, rows = events
-    assert sorted(run(spark, "fn_canonical_json", folder)) == [(i, props) for i, _, _, _, props in rows]
+    form = '{"event":%d,"props":%s,"type":"%s","user":{"id":%d,"Été":[true,null,"a\\nb",0]}}'
+    assert sorted(run(spark, "fn_canonical_json", folder)) == [(i, None if t == "error" else form % (i, props.replace(" ", ""), t, u), "not JSON" if t == "error" else None) for i, u, t, _, props in rows]
 
 
 def test_predicates_see_all_types_of_a_user(spark, events):

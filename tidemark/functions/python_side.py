@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
+import re
 import unicodedata
 from html.parser import HTMLParser
 
@@ -35,14 +37,74 @@ def canonical_json(text: str | None, strict: bool = True) -> str | None:
     return json.dumps(value, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=not strict, default=str)
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json_strict(text: pd.Series) -> pd.Series:
-    return text.map(canonical_json, na_action="ignore")
+def _canonical_or_error(text: str | None, strict: bool) -> tuple[str | None, str | None]:
+    try:
+        return canonical_json(text, strict), None
+    except (ValueError, RecursionError):
+        return None, "not JSON"
 
 
-@F.pandas_udf(T.StringType())
-def canonical_json_lenient(text: pd.Series) -> pd.Series:
-    return text.map(lambda t: canonical_json(t, False), na_action="ignore")
+CANONICAL = T.StructType([T.StructField("canonical", T.StringType()), T.StructField("error", T.StringType())])
+
+
+@F.pandas_udf(CANONICAL)
+def canonical_json_strict(text: pd.Series) -> pd.DataFrame:
+    """Text as canonical JSON; where it is none, null and what is wrong. A null text has neither."""
+    return pd.DataFrame([_canonical_or_error(t, True) for t in text], columns=CANONICAL.names)
+
+
+@F.pandas_udf(CANONICAL)
+def canonical_json_lenient(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([_canonical_or_error(t, False) for t in text], columns=CANONICAL.names)
+
+
+# Fixed values of the unit identity: which fields each hash binds, and which fields of a mixed unit's parts are position or annotation.
+PROJECTED = ("applicability", "heading_path", "payload_kind", "quality_status", "semantic_key", "title")
+STRUCTURAL = ("heading_path", "order_index", "payload_kind")
+PART_LAYOUT = frozenset({"order", "heading_path", "local_heading", "applicability", "quality_status", "artifact_locator"})
+PART_ANNOTATIONS = frozenset({"heading_path", "local_heading", "applicability", "quality_status"})
+
+
+def unit_identity(fields: dict, payload: dict) -> tuple[str, str, str]:
+    """Three sha256 identities of a unit: what it says, what a query sees of it beside that, and where it stands.
+
+    A set of semantic keys that is the scalar key alone binds nothing more, nor do absent section keys. The parts of a mixed unit
+    say what is left without position and annotation; their annotations are part of what a query sees.
+    """
+    projected = {name: fields.get(name) for name in PROJECTED}
+    if fields.get("semantic_keys") not in (None, [fields.get("semantic_key")]):
+        projected["semantic_keys"] = fields["semantic_keys"]
+    if fields.get("section_keys") is not None:
+        projected["section_keys"] = fields["section_keys"]
+    if fields["payload_kind"] == "mixed":
+        parts = payload.get("parts")
+        if not parts or not isinstance(parts, list) or not all(isinstance(part, dict) for part in parts):
+            raise ValueError("a mixed unit needs parts")
+
+        def only(part: dict, wanted) -> dict:
+            return {name: value for name, value in part.items() if wanted(name)}
+
+        projected["mixed_part_annotations"] = {"parts": [only(part, PART_ANNOTATIONS.__contains__) for part in parts]}
+        payload = only(payload, lambda name: name != "semantic_type") | {"parts": [only(part, lambda name: name not in PART_LAYOUT) for part in parts]}
+    forms = {"payload": payload, "payload_kind": fields["payload_kind"]}, projected, {name: fields.get(name) for name in STRUCTURAL}
+    dumped = (json.dumps(form, sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False) for form in forms)
+    return tuple("sha256:" + hashlib.sha256(text.encode()).hexdigest() for text in dumped)
+
+
+IDENTITIES = T.StructType([T.StructField(name, T.StringType()) for name in ("content_hash", "query_projection_hash", "structure_hash", "error")])
+
+
+@F.pandas_udf(IDENTITIES)
+def unit_identities(fields: pd.Series, payload: pd.Series) -> pd.DataFrame:
+    """Identities of units given as two JSON objects; where the payload is no object of its kind, nulls and an error."""
+
+    def of(known: str, said: str | None) -> tuple:
+        try:
+            return (*unit_identity(json.loads(known), json.loads(said or "")), None)
+        except (ValueError, AttributeError, RecursionError) as error:
+            return None, None, None, str(error)
+
+    return pd.DataFrame([of(k, s) for k, s in zip(fields, payload)], columns=IDENTITIES.names)
 
 
 class _Visible(HTMLParser):
@@ -135,28 +197,30 @@ def html_cell_roles(html: pd.Series) -> pd.Series:
     return html.map(cell_roles, na_action="ignore")
 
 
-ORDINAL_DIGITS = {c: i for i, c in enumerate("零一二三四五六七八九")} | {"两": 2, "〇": 0}
+# The digits and units of Chinese ordinals.
+ORDINAL_DIGITS = {"零": 0, "〇": 0, "一": 1, "二": 2, "两": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9}
 ORDINAL_UNITS = {"十": 10, "百": 100, "千": 1000}
+ORDINAL_FORM = re.compile(f"[{''.join(ORDINAL_DIGITS)}{''.join(ORDINAL_UNITS)}万]+")
+ORDINAL_STEP = re.compile(f"([{''.join(ORDINAL_DIGITS)}]*)([{''.join(ORDINAL_UNITS)}]?)")
 
 
 def ordinal_value(text: str | None) -> int | None:
-    """A Chinese or Arabic ordinal as a number; null for anything else."""
+    """A Chinese or Arabic ordinal as a number above 0; null for anything else.
+
+    Of digits in a row the last counts; a unit without a digit, or with a zero, counts once; what stands before 万 counts ten thousand times.
+    """
     if not text:
         return None
     if text.isdecimal():
-        return int(text)
-    total, digit = 0, None
-    for c in text:
-        if c in ORDINAL_DIGITS:
-            if digit:
-                return None
-            digit = ORDINAL_DIGITS[c]
-        elif c in ORDINAL_UNITS:
-            total += (1 if digit is None else digit) * ORDINAL_UNITS[c]
-            digit = None
-        else:
-            return None
-    return total + (digit or 0)
+        return int(text) or None
+    if not ORDINAL_FORM.fullmatch(text):
+        return None
+    value = 0
+    for k, section in enumerate(reversed(text.split("万"))):
+        for digits, unit in ORDINAL_STEP.findall(section):
+            digit = ORDINAL_DIGITS[digits[-1]] if digits else 0
+            value += (10_000 if k else 1) * ((digit or 1) * ORDINAL_UNITS[unit] if unit else digit)
+    return value or None
 
 
 @F.pandas_udf(T.IntegerType())

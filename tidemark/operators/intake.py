@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions import python_side as py
+
 
 def canonical_row(columns: Sequence[str]) -> Column:
     """A row as canonical JSON: keys sorted, nulls kept."""
@@ -24,34 +26,26 @@ def recordset_hash(rows: DataFrame, groups: Sequence[str], keys: Sequence[str],
     return rows.groupBy(*groups).agg(F.sha2(F.concat(F.lit("["), F.array_join(ordered, ","), F.lit("]")), 256).alias(name))
 
 
-def sorted_hash(rows: DataFrame, groups: Sequence[str], digest: str, name: str) -> DataFrame:
+def sorted_hash(rows: DataFrame, groups: Sequence[str], digest: str, name: str, prefix: str = "sha256:") -> DataFrame:
     """sha256 over the sorted digests of a group, duplicates kept: the same for any order."""
-    return rows.groupBy(*groups).agg(F.sha2(F.array_join(F.sort_array(F.collect_list(digest)), "\n"), 256).alias(name))
+    return rows.groupBy(*groups).agg(F.concat(F.lit(prefix), F.sha2(F.array_join(F.sort_array(F.collect_list(digest)), "\n"), 256)).alias(name))
 
 
-def ordered_hash(rows: DataFrame, groups: Sequence[str], order: Sequence[str], digest: str, name: str) -> DataFrame:
+def ordered_hash(rows: DataFrame, groups: Sequence[str], order: Sequence[str], digest: str, name: str, prefix: str = "sha256:") -> DataFrame:
     """sha256 over the digests of a group in order: changes with the order."""
     entries = F.sort_array(F.collect_list(F.struct(*order, F.col(digest).alias("_digest"))))
-    return rows.groupBy(*groups).agg(F.sha2(F.array_join(F.transform(entries, lambda e: e["_digest"]), "\n"), 256).alias(name))
+    return rows.groupBy(*groups).agg(F.concat(F.lit(prefix), F.sha2(F.array_join(F.transform(entries, lambda e: e["_digest"]), "\n"), 256)).alias(name))
 
 
 def unit_hashes(units: DataFrame) -> DataFrame:
-    """Three identities of a unit: its payload; payload with titles, keys and quality; payload with path and order.
+    """Adds content_hash, query_projection_hash and structure_hash: what a unit says, what a query sees of it, and where it stands.
 
-    ``units`` has payload_kind, payload (canonical JSON), title, heading_path, semantic_keys, quality_status, order_index. A
-    single semantic key is written as a scalar only, so that keys of one do not change the projection hash.
+    ``units`` has payload_kind, payload (a JSON object), title, heading_path, quality_status, order_index, and semantic_key,
+    semantic_keys, section_keys and applicability where there are any. ``hash_error`` says why a unit has no hashes.
     """
-    scalar = F.get("semantic_keys", F.lit(0))
-    several = F.when(F.size("semantic_keys") > 1, F.col("semantic_keys"))
-    digest = lambda **fields: F.concat(F.lit("sha256:"), F.sha2(F.to_json(F.struct(*[c.alias(n) for n, c in sorted(fields.items())])), 256))
-    content = {"payload": F.col("payload"), "payload_kind": F.col("payload_kind")}
-    return units.withColumns(
-        {
-            "content_hash": digest(**content),
-            "query_projection_hash": digest(**content, title=F.col("title"), heading_path=F.col("heading_path"), semantic_key=scalar, semantic_keys=several, quality_status=F.col("quality_status")),
-            "structure_hash": digest(**content, heading_path=F.col("heading_path"), order_index=F.col("order_index")),
-        }
-    )
+    known = [c for c in ("payload_kind", "title", "heading_path", "semantic_key", "semantic_keys", "section_keys", "quality_status", "applicability", "order_index") if c in units.columns]
+    found = units.withColumn("_identity", py.unit_identities(F.to_json(F.struct(*known), {"ignoreNullFields": "false"}), F.col("payload")))
+    return found.select("*", "_identity.content_hash", "_identity.query_projection_hash", "_identity.structure_hash", F.col("_identity.error").alias("hash_error")).drop("_identity")
 
 
 def register_snapshots(incoming: DataFrame, existing: DataFrame) -> DataFrame:

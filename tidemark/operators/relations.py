@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 
 
 def neighbours(hits: DataFrame, rows: DataFrame, group: str, position: str, radius: int) -> DataFrame:
-    """Rows within ``radius`` positions of a hit in its group: offsets are exploded, so the band join is an equi-join."""
-    wanted = hits.select(F.col(group).alias("_g"), F.explode(F.sequence(F.col(position) - radius, F.col(position) + radius)).alias("_p")).distinct()
-    return rows.join(wanted, (rows[group] == F.col("_g")) & (rows[position] == F.col("_p")), "left_semi")
+    """Rows within ``radius`` positions of a hit in its group: one range frame over rows and hits together.
+
+    Stretches of many radii are windows of their own, so that a group of any length is spread; a hit near a stretch's end stands in both.
+    """
+    span = 64 * radius + 1
+    hit = hits.select(F.col(group).alias("_g"), F.col(position).cast("long").alias("_p"), F.explode(F.array_distinct(F.array(*[F.floor((F.col(position) + d) / span) for d in (-radius, radius)]))).alias("_stretch"))
+    marked = rows.select(*rows.columns, F.col(group).alias("_g"), F.col(position).cast("long").alias("_p"), F.floor(F.col(position) / span).alias("_stretch"), F.lit(False).alias("_hit"))
+    together = marked.unionByName(hit.withColumn("_hit", F.lit(True)), allowMissingColumns=True)
+    near = F.max("_hit").over(W.partitionBy("_g", "_stretch").orderBy("_p").rangeBetween(-radius, radius))
+    return together.withColumn("_near", near).where("_near and not _hit").select(*rows.columns)
 
 
 def multiset_pair(old: DataFrame, new: DataFrame, ident: str, exact: Sequence[str], loose: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -13,16 +13,11 @@ def split_codes(rows: DataFrame, codes: str, name: str = "code") -> DataFrame:
 
 
 def match_prefix(rows: DataFrame, rules: DataFrame, code: str, prefix: str = "prefix") -> DataFrame:
-    """Join codes with the rules whose prefix they start with, as an equi-join: a code offers its beginnings.
+    """Join codes with the rules whose prefix they start with, as an equi-join: a code offers all its beginnings.
 
-    Only lengths that some rule has are offered, so the expansion is bounded by the number of distinct rule lengths; the rule
-    table, small by nature, is left to the planner to broadcast, and a large one still joins by a shuffle.
+    Codes are short identifiers, so this is a few rows a code; the rule table is left to the planner to broadcast or shuffle.
     """
-    lengths = sorted(r[0] for r in rules.select(F.length(prefix)).distinct().collect() if r[0] is not None)
-    if not lengths:
-        return rows.crossJoin(rules.limit(0))
-    offered = F.array_distinct(F.transform(F.array(*map(F.lit, lengths)), lambda n: F.when(F.length(code) >= n, F.substring(F.col(code), F.lit(1), n))))
-    beginnings = rows.withColumn("_beginning", F.explode(F.array_compact(offered)))
+    beginnings = rows.withColumn("_beginning", F.explode(F.transform(F.sequence(F.lit(1), F.greatest(F.length(code), F.lit(1))), lambda n: F.substring(F.col(code), F.lit(1), n))))
     return beginnings.join(rules, F.col("_beginning") == rules[prefix]).drop("_beginning")
 
 
@@ -44,22 +39,27 @@ def ruleset_digest(rules: DataFrame) -> DataFrame:
 
 
 def classify(documents: DataFrame, rules: DataFrame, doc: str, codes: str, title: str) -> DataFrame:
-    """filing_type, topics and facet of each document.
+    """filing_type, topics and facet of each document; ``doc`` identifies it.
 
     Types are hits of class rules on codes together with title topics; the highest priority wins, then the least name. A
     document without codes may fall back on title rules, else it is "other". Topics that are absent are null, not empty.
+    Hits of all rule sets and the documents themselves meet in one aggregate, so there is one shuffle.
     """
     base = documents.select(F.col(doc).alias("_doc"), F.col(codes).alias("_codes"), F.col(title).alias("_title"))
-    of = lambda name: rules.where(F.col("rule_set") == name).select("prefix", "value", "priority")
-    coded = split_codes(base, "_codes")
-    class_hits = match_prefix(coded, of("class"), "code").select("_doc", "value", "priority")
-    topic_hits = match_infix(base, of("title_topic"), "_title").select("_doc", "value", "priority")
-    types = class_hits.union(topic_hits).distinct().groupBy("_doc").agg(best_by_priority("value", "priority").alias("_type"))
-    topics = topic_hits.groupBy("_doc").agg(F.sort_array(F.collect_set("value")).alias("_topics"))
-    facets = match_prefix(coded, of("facet"), "code").groupBy("_doc").agg(best_by_priority("value", "priority").alias("_facet"))
-    titled = match_infix(base.where(F.nullif(F.trim("_codes"), F.lit("")).isNull()), of("title"), "_title").groupBy("_doc").agg(best_by_priority("value", "priority").alias("_titled"))
-    joined = base.join(types, "_doc", "left").join(topics, "_doc", "left").join(facets, "_doc", "left").join(titled, "_doc", "left")
-    return joined.select(F.col("_doc").alias(doc), F.coalesce("_type", "_titled", F.lit("other")).alias("filing_type"), F.col("_topics").alias("topics"), F.col("_facet").alias("facet"))
+    of = lambda *names: rules.where(F.col("rule_set").isin(*names)).select("rule_set", "prefix", "value", "priority")
+    hit = ["_doc", "rule_set", "value", "priority"]
+    coded = match_prefix(split_codes(base, "_codes"), of("class", "facet"), "code").select(*hit)
+    blank = F.nullif(F.trim("_codes"), F.lit("")).isNull()
+    titled = match_infix(base, of("title_topic", "title"), "_title").where((F.col("rule_set") == "title_topic") | blank).select(*hit)
+    every = base.select("_doc", *[F.lit(None).cast(dict(rules.dtypes)[c]).alias(c) for c in hit[1:]])
+
+    def best(*names: str) -> Column:
+        wanted = F.col("rule_set").isin(*names)
+        return F.min_by(F.when(wanted, F.col("value")), F.when(wanted, F.struct((-F.col("priority")).alias("p"), F.col("value").alias("v"))))
+
+    topics = F.sort_array(F.collect_set(F.when(F.col("rule_set") == "title_topic", F.col("value"))))
+    found = coded.unionByName(titled).unionByName(every).groupBy("_doc").agg(best("class", "title_topic").alias("_type"), best("title").alias("_titled"), topics.alias("_topics"), best("facet").alias("facet"))
+    return found.select(F.col("_doc").alias(doc), F.coalesce("_type", "_titled", F.lit("other")).alias("filing_type"), F.when(F.size("_topics") > 0, F.col("_topics")).alias("topics"), "facet")
 
 
 def uncovered_codes(coded: DataFrame, rules: DataFrame, doc: str, accepted: list[str]) -> DataFrame:

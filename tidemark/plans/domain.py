@@ -212,17 +212,17 @@ def d47(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def d48(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").withColumn("item", F.concat_ws(":", "role", "text"))
-    keys = intake.ordered_hash(turns, ["conv_id"], ["turn"], "item", "dedup_key")
+    keys = intake.ordered_hash(turns, ["conv_id"], ["turn"], "item", "dedup_key", prefix="")
     located = turns.groupBy("conv_id").agg(F.bool_and(F.length("text") > 0).alias("located"))
     return keys.join(located, "conv_id")
 
 
-@query("a13_hash_aggregate", "SELECT user_id, sha256(string_agg(event_type, chr(10) ORDER BY event_type)) AS content_hash FROM events GROUP BY user_id")
+@query("a13_hash_aggregate", "SELECT user_id, 'sha256:' || sha256(string_agg(event_type, chr(10) ORDER BY event_type)) AS content_hash FROM events GROUP BY user_id")
 def a13(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.sorted_hash(table(spark, sf_dir, "events"), ["user_id"], "event_type", "content_hash")
 
 
-@query("a14_structure_hash", "SELECT user_id, sha256(string_agg(event_type, chr(10) ORDER BY event_id)) AS structure_hash FROM events GROUP BY user_id")
+@query("a14_structure_hash", "SELECT user_id, 'sha256:' || sha256(string_agg(event_type, chr(10) ORDER BY event_id)) AS structure_hash FROM events GROUP BY user_id")
 def a14(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.ordered_hash(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], "event_type", "structure_hash")
 
@@ -237,7 +237,15 @@ def a16(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intake.recordset_hash(table(spark, sf_dir, "events"), ["user_id"], ["event_id"], ["event_type", "event_id"])
 
 
-@query("d27_unit_hashes")
+@query(
+    "d27_unit_hashes",
+    """
+    WITH u AS (SELECT doc_id, '"heading_path":["' || lang || '","' || source || '"]' AS path, to_json(split_part(text, chr(10), 1))::VARCHAR AS title, to_json(text)::VARCHAR AS body, lang, source FROM documents)
+    SELECT doc_id, 'sha256:' || sha256('{"payload":{"text":' || body || '},"payload_kind":"text"}') AS content_hash,
+      'sha256:' || sha256('{"applicability":null,' || path || ',"payload_kind":"text","quality_status":"ok","semantic_key":"' || source || '"' || CASE WHEN lang = 'en' THEN ',"semantic_keys":["' || source || '","en"]' ELSE '' END || ',"title":' || title || '}') AS query_projection_hash,
+      'sha256:' || sha256('{' || path || ',"order_index":' || doc_id || ',"payload_kind":"text"}') AS structure_hash FROM u
+    """,
+)
 def d27(spark: SparkSession, sf_dir: str) -> DataFrame:
     units = table(spark, sf_dir, "documents").select(
         "doc_id",
@@ -245,9 +253,10 @@ def d27(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct("text")).alias("payload"),
         F.substring_index("text", "\n", 1).alias("title"),
         F.array("lang", "source").alias("heading_path"),
-        F.array("source").alias("semantic_keys"),
+        F.col("source").alias("semantic_key"),
+        F.when(F.col("lang") == "en", F.array("source", "lang")).otherwise(F.array("source")).alias("semantic_keys"),
         F.lit("ok").alias("quality_status"),
-        F.col("doc_id").cast("int").alias("order_index"),
+        F.col("doc_id").alias("order_index"),
     )
     return intake.unit_hashes(units).select("doc_id", "content_hash", "query_projection_hash", "structure_hash")
 
@@ -263,7 +272,7 @@ def d32(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES = """
-WITH lines AS (SELECT source AS doc, doc_id AS page, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents WHERE doc_id % 5 = 0),
+WITH lines AS (SELECT source AS doc, doc_id AS page, unnest(string_split(text, chr(10))) AS text, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
 b AS (SELECT *, CASE WHEN line = 1 THEN 'header' WHEN line = 2 THEN 'footer' WHEN line = 3 THEN 'page_number' ELSE 'body' END AS role FROM lines)
 """
 
@@ -328,10 +337,15 @@ def html_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", F.array_join(py.html_segments("html"), "\n").alias("segments"))
 
 
-@query("html_roles")
+@query(
+    "html_roles",
+    """
+    SELECT page_id, '[{"text":"name","role":"header"},{"text":"value","role":"header"},{"text":"x","role":"header"},{"text":"' || url || '","role":"value"},{"text":"1","role":"value"},{"text":"' || page_id || '","role":"value"}]' AS cells FROM pages
+    """,
+)
 def html_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = F.concat(F.lit("<table><tr><td>name</td><td>value</td><td>x</td></tr><tr><td>"), F.col("url"), F.lit("</td><td>1</td><td>"), F.col("page_id").cast("string"), F.lit("</td></tr></table>"))
-    return table(spark, sf_dir, "pages").select("page_id", F.to_json(py.html_cell_roles(rows)).alias("cells"))
+    return table(spark, sf_dir, "pages").select("page_id", F.to_json(py.html_cell_roles(F.concat("html", rows))).alias("cells"))
 
 
 @query(
@@ -514,9 +528,17 @@ def fn_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("digest"), tx.prefixed_sha256(F.col("text")).alias("prefixed"))
 
 
-@query("fn_canonical_json", "SELECT event_id, props AS canonical FROM events WHERE event_id < 1000")
+@query(
+    "fn_canonical_json",
+    """
+    SELECT event_id, CASE WHEN event_type <> 'error' THEN '{"event":' || event_id || ',"props":' || replace(props, ' ', '') || ',"type":"' || event_type || '","user":{"id":' || user_id || ',"Été":[true,null,"a\\nb",0]}}' END AS canonical,
+      CASE WHEN event_type = 'error' THEN 'not JSON' END AS error FROM events
+    """,
+)
 def fn_canonical_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", F.replace(py.canonical_json_strict("props"), F.lit(":"), F.lit(": ")).alias("canonical"))
+    text = F.concat(F.lit('{"type": "'), "event_type", F.lit('", "props": '), "props", F.lit(', "user": {"Été": [true, null, "a\\nb", 0], "id": '), F.col("user_id").cast("string"), F.lit('}, "event": '), F.col("event_id").cast("string"), F.lit(" }"))
+    broken = F.when(F.col("event_type") == "error", F.concat(text, F.lit("]"))).otherwise(text)
+    return table(spark, sf_dir, "events").select("event_id", py.canonical_json_strict(broken).alias("c")).select("event_id", "c.canonical", "c.error")
 
 
 @query("v01_enum", "SELECT event_id FROM events WHERE event_type NOT IN ('view', 'click', 'signup')")
@@ -543,7 +565,7 @@ def v12(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "d22_repeated_headers",
     """
-    WITH b AS (SELECT source AS document_id, doc_id AS page, split_part(text, chr(10), 1)[1:2] AS text, (doc_id % 3)::DOUBLE AS x0, 0.0::DOUBLE AS y0 FROM documents),
+    WITH b AS (SELECT source AS document_id, doc_id AS page, split_part(text, chr(10), 1) AS text, (doc_id % 3)::DOUBLE AS x0, 0.0::DOUBLE AS y0 FROM documents),
     n AS (SELECT *, CASE WHEN page - lag(page) OVER w <= 60 AND abs(x0 - lag(x0) OVER w) <= 1 AND abs(y0 - lag(y0) OVER w) <= 1 THEN 0 ELSE 1 END AS starts FROM b WINDOW w AS (PARTITION BY document_id, text ORDER BY page, y0, x0)),
     g AS (SELECT *, sum(starts) OVER (PARTITION BY document_id, text ORDER BY page, y0, x0 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS grp FROM n)
     SELECT document_id, text, count(DISTINCT page) AS pages, min(page) AS first_page, max(page) AS last_page FROM g GROUP BY document_id, text, grp HAVING count(DISTINCT page) >= 2
@@ -551,7 +573,7 @@ def v12(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def d22(spark: SparkSession, sf_dir: str) -> DataFrame:
     blocks = table(spark, sf_dir, "documents").select(
-        F.col("source").alias("document_id"), F.col("doc_id").alias("page"), F.substring(F.substring_index("text", "\n", 1), 1, 2).alias("text"), (F.col("doc_id") % 3).cast("double").alias("x0"), F.lit(0.0).alias("y0")
+        F.col("source").alias("document_id"), F.col("doc_id").alias("page"), F.substring_index("text", "\n", 1).alias("text"), (F.col("doc_id") % 3).cast("double").alias("x0"), F.lit(0.0).alias("y0")
     )
     return structure.repeated_headers(blocks, tolerance=1.0, least_pages=2, gap=60)
 

@@ -72,7 +72,7 @@ def j09(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "j10_ordinality",
-    "SELECT doc_id, unnest(string_split(substr(text, 1, 200), ' ')) AS word, generate_subscripts(string_split(substr(text, 1, 200), ' '), 1)::BIGINT AS position FROM documents",
+    "SELECT doc_id, unnest(string_split(text, ' ')) AS word, generate_subscripts(string_split(text, ' '), 1)::BIGINT AS position FROM documents",
 )
 def j10(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", " ")).alias("position", "word"))
@@ -159,7 +159,7 @@ def d35(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.outbox_events(_pairs(spark, sf_dir), "run-1", 100)
 
 
-@query("u01_union", "SELECT user_id, event_type FROM events WHERE event_id % 2 = 0 UNION SELECT user_id, event_type FROM events WHERE event_id % 3 = 0")
+@query("u01_union", "SELECT user_id, event_type FROM events WHERE coalesce(value > 10, true) UNION SELECT user_id, event_type FROM events WHERE coalesce(value <= 100, true)")
 def u01(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     # The sides overlap, and each event is in one at least; one without a value is in both.

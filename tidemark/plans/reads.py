@@ -110,7 +110,7 @@ def _user_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy("user_id").agg(F.sort_array(F.collect_set("event_type")).alias("types"))
 
 
-TYPES_SQL = "WITH t AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events WHERE event_id % 3 = 0 GROUP BY user_id) "
+TYPES_SQL = "WITH t AS (SELECT user_id, list_sort(list(DISTINCT event_type)) AS types FROM events GROUP BY user_id) "
 
 
 @query("f05_any_of", TYPES_SQL + "SELECT user_id FROM t WHERE list_has_any(types, ['signup', 'error'])")

@@ -32,7 +32,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return
-    context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared and not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="tidemark-ckpt-"))
 
 
 def cut(frame: DataFrame) -> DataFrame:
