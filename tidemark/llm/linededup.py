@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import itertools
-import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -58,38 +57,33 @@ def _part_runs(max_edits: int, n_parts: int) -> list[tuple[int, list[tuple[int,
     return list(found.values())
 
 
-def _part_keys(line: Column, length: Column, max_edits: int) -> list[Column]:
+def _part_keys(wide: str, length: str, max_edits: int) -> list[Column]:
     """Hashes of each of a line's ``max_edits`` + 1 parts, as the shorter and as the longer of a pair.
 
-    Where all characters are single bytes, parts are cut from the bytes, without counting characters; the hashes are the same.
+    ``wide`` is the line in four bytes a character, so that a part is a slice of bytes and no characters are counted.
     """
-    keys, n = [], max_edits + 1
-    raw, single = line.cast("binary"), F.octet_length(line) == length
-    for gap, [(part, _, shift)] in _part_runs(max_edits, n):
-        m = length - gap
-        start = F.floor(m * part / n).cast("int")
-        begin, size = start + 1 + shift, F.floor(m * (part + 1) / n).cast("int") - start
-        keys.append(F.when(single, F.xxhash64(F.lit(part), m, F.substring(raw, begin, size))).otherwise(F.xxhash64(F.lit(part), m, F.substring(line, begin, size))))
-    return keys
+    n = max_edits + 1
+    return [
+        F.expr(f"xxhash64({part}, {length} - {gap}, substring({wide}, int(4 * (({length} - {gap}) * {part} div {n} + {shift}) + 1), int(4 * (({length} - {gap}) * {part + 1} div {n} - ({length} - {gap}) * {part} div {n}))))")
+        for gap, [(part, _, shift)] in _part_runs(max_edits, n)
+    ]
 
 
-def _letter_counts(line: str) -> Column:
-    """How often each group of ``LETTERS`` occurs in a line."""
-    return F.array(*[(F.length(line) - F.length(F.translate(line, letters, ""))).cast("short") for letters in LETTERS])
+#: Columns of a line's letter counts.
+COUNTS = [f"_c{k}" for k in range(len(LETTERS))]
 
 
-def _count_keys(key: str, counts: str, max_edits: int) -> Column:
-    """The key with the letter counts of two of ``2 * max_edits`` + 2 groups: lines within ``max_edits`` differ in all but two at most."""
-    groups = [[k for k in range(len(LETTERS)) if k % (2 * max_edits + 2) == g] for g in range(2 * max_edits + 2)]
-    return F.array(*[F.xxhash64(key, F.lit(f"{a} {b}"), *[F.get(counts, F.lit(k)) for k in groups[a] + groups[b]]) for a, b in itertools.combinations(range(len(groups)), 2)])
+def _letter_counts(line: str) -> dict[str, Column]:
+    """How often each group of ``LETTERS`` occurs in a line."""
+    return {name: (F.length(line) - F.length(F.translate(line, letters, ""))).cast("int") for name, letters in zip(COUNTS, LETTERS)}
 
 
-def _fine_keys(line: str, max_edits: int, n_parts: int) -> Column:
+def _fine_keys(wide: str, length: str, max_edits: int, n_parts: int) -> Column:
     """The same by more parts, all but ``max_edits`` of which agree; one expression over a list, as there are many."""
-    runs = [{"gap": gap, "runs": [{"b": b, "e": e, "s": s} for b, e, s in runs]} for gap, runs in _part_runs(max_edits, n_parts)]
-    piece = f"substring({line}, int(floor((length({line}) - k.gap) * r.b / {n_parts})) + 1 + r.s, int(floor((length({line}) - k.gap) * r.e / {n_parts})) - int(floor((length({line}) - k.gap) * r.b / {n_parts})))"
-    key = f"xxhash64(array_join(transform(k.runs, r -> concat(r.b, '-', r.e)), ','), length({line}) - k.gap, array_join(transform(k.runs, r -> {piece}), ''))"
-    return F.expr(f"array_distinct(transform(from_json('{json.dumps(runs)}', 'array<struct<gap:int,runs:array<struct<b:int,e:int,s:int>>>>'), k -> {key}))")
+    runs = ", ".join(f"named_struct('gap', {gap}, 'runs', array({', '.join(f'array({b}, {e}, {s})' for b, e, s in runs)}))" for gap, runs in _part_runs(max_edits, n_parts))
+    start, end = f"({length} - k.gap) * r[0] div {n_parts}", f"({length} - k.gap) * r[1] div {n_parts}"
+    piece = f"xxhash64(r[0], r[1], substring({wide}, int(4 * ({start} + r[2]) + 1), int(4 * ({end} - {start}))))"
+    return F.expr(f"array_distinct(transform(array({runs}), k -> xxhash64({length} - k.gap, transform(k.runs, r -> {piece}))))")
 
 
 def _key_names(max_edits: int) -> list[str]:
@@ -97,8 +91,10 @@ def _key_names(max_edits: int) -> list[str]:
 
 
 def _lists(keyed: DataFrame) -> DataFrame:
-    """Lines (_id, _key) whose key another line has too, with the number of lines and the earliest."""
-    shared = cut(keyed.groupBy("_key").agg(F.count("*").alias("_n")).where("_n > 1"))
+    """Lines (_id, _key) whose key another line has too, with the number of lines and the earliest; of keys with the same lines, one."""
+    one, two = F.bit_xor(F.xxhash64("_id")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_id")).alias("_y")
+    shared = keyed.groupBy("_key").agg(F.count("*").alias("_n"), one, two).where("_n > 1")
+    shared = cut(shared.groupBy("_n", "_x", "_y").agg(F.min("_key").alias("_key")).select("_key", "_n"))
     members = cut(attach(keyed, shared, "_key", shared.count(), "inner"))
     return members.join(members.groupBy("_key").agg(F.min("_id").alias("_first")), "_key")
 
@@ -135,25 +131,29 @@ def _within(a: Column, b: Column, max_edits: int) -> Column:
     return _bound(common(F.left, shorter), lambda prefix: _bound(common(F.right, shorter - prefix), lambda suffix: left_over(prefix, suffix)))
 
 
-def _near_pairs(later: DataFrame, members: DataFrame, max_edits: int) -> DataFrame:
-    """Lines of ``later`` that are within ``max_edits`` of an earlier one of ``members`` with the same key; both have line and counts."""
-    other = members.select("_key", F.col("_id").alias("_other"), F.col("line").alias("_earlier"), F.col("counts").alias("_counts"))
-    near = (F.col("_other._at") < F.col("_id._at")) & (F.expr("aggregate(zip_with(counts, _counts, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)") <= 2 * max_edits)
-    return later.join(other, (later["_key"] == other["_key"]) & near & _within(F.col("line"), F.col("_earlier"), max_edits)).select("_id").distinct()
+def _alike(later: DataFrame, members: DataFrame, max_edits: int) -> DataFrame:
+    """Lines of ``later`` with the earlier ones of ``members`` that have the same key and nearly the same letters, once each."""
+    other = members.select("_key", F.col("_id").alias("_other"), *[F.col(c).alias(c + "_") for c in COUNTS])
+    alike = sum((F.abs(F.col(c) - F.col(c + "_")) for c in COUNTS), F.lit(0)) <= 2 * max_edits
+    return later.join(other, (later["_key"] == other["_key"]) & alike & (F.col("_other._at") < F.col("_id._at"))).select("_id", "_other").distinct()
+
+
+def _firsts(members: DataFrame) -> DataFrame:
+    """Lines with the earliest that has the same key."""
+    return members.select("_id", F.col("_first").alias("_other")).where("_other._at < _id._at").distinct()
 
 
-def _near_firsts(members: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
-    """Lines that are within ``max_edits`` of the earliest with the same key."""
-    firsts = members.select("_id", F.col("_first").alias("_other")).where("_other._at < _id._at").distinct()
+def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
+    """Lines of the pairs that are within ``max_edits`` of the other."""
     other = texts.select(F.col("_id").alias("_other"), F.col("line").alias("_earlier"))
-    return firsts.join(texts, "_id").join(other, "_other").where(_within(F.col("line"), F.col("_earlier"), max_edits)).select("_id").distinct()
+    return pairs.join(texts, "_id").join(other, "_other").where(_within(F.col("line"), F.col("_earlier"), max_edits)).select("_id").distinct()
 
 
 def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars: int) -> DataFrame:
     """Keys of distinct lines that are within ``max_edits`` of a line which comes earlier.
 
     Lists of up to ``LONG_LIST`` lines are compared inside the join. The lines of longer ones are held against the earliest; those that it
-    does not settle get finer keys, and at last those with letter counts, under which lines that differ elsewhere no longer meet.
+    does not settle get keys of more parts, which leave less of a line open.
     """
     identity = F.struct("_at", "_k1", "_k2").alias("_id")
     keyed = distinct.where(F.col("_len") >= near_chars).select(identity, F.explode(F.array_distinct(F.array(*_key_names(max_edits)))).alias("_key"))
@@ -161,27 +161,17 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars
     chosen = cut(members.select("_id").distinct().select("_id", F.col("_id._at.doc_id").alias("doc_id"), F.col("_id._at.line_no").alias("line_no"), F.col("_id._k1").alias("_k1")))
     lines = _lines(docs).withColumn("_k1", F.xxhash64("line"))
     texts = attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"])
-    texts = cut(texts.withColumn("counts", _letter_counts("line")))
-    near = None
-    for level in range(3):
-        short, long = members.where(F.col("_n") <= LONG_LIST).join(texts, "_id"), members.where(F.col("_n") > LONG_LIST)
-        if level == 2:
-            short = members.join(texts, "_id")
-        found = _near_pairs(short, short, max_edits)
-        if level < 2:
-            found = found.union(_near_firsts(long, texts, max_edits)).distinct()
-        near = cut(found if near is None else near.union(found).distinct())
-        crowded = cut(long.select("_id").distinct())
-        if level == 2 or not crowded.limit(1).count():
-            return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
+    texts = cut(texts.withColumns(_letter_counts("line")))
+    counted = members.join(texts.select("_id", *COUNTS), "_id")
+    short, long = counted.where(F.col("_n") <= LONG_LIST), members.where(F.col("_n") > LONG_LIST)
+    near = cut(_verified(_alike(short, short, max_edits).union(_firsts(long)).distinct(), texts, max_edits))
+    if long.limit(1).count():
         # A crowded line that has a witness looks for no other, but may be one.
-        held = texts.join(crowded, "_id", "left_semi")
-        if level == 0:
-            # Twice as many parts leave less of a line open and tell a long list's lines apart.
-            fine = held.select("_id", F.explode(_fine_keys("line", max_edits, 2 * (max_edits + 1))).alias("_key"))
-        else:
-            fine = long.select("_id", "_key").join(texts, "_id").select("_id", F.explode(F.array_distinct(_count_keys("_key", "counts", max_edits))).alias("_key"))
-        members = cut(_lists(fine))
+        parts = _fine_keys("_wide", "_len", max_edits, (4 if max_edits <= 2 else 2) * (max_edits + 1))
+        crowded = texts.join(long.select("_id").distinct(), "_id", "left_semi").withColumns({"_wide": F.encode("line", "UTF-32"), "_len": F.length("line")})
+        finer = cut(_lists(crowded.select("_id", *COUNTS, F.explode(parts).alias("_key"))))
+        near = cut(near.union(_verified(_alike(finer.join(near, "_id", "left_anti"), finer, max_edits), texts, max_edits)).distinct())
+    return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
 
 
 def dedup_lines(docs: DataFrame, max_edits: int = 1, near_chars: int = 0) -> DataFrame:
@@ -197,8 +187,7 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, near_chars: int = 0) -> Dat
     Variants are lines without some of their parts: of ``max_edits`` + 1 parts of a line, all but one are deleted, and lines are compared if
     what is left of both is equal. Deleting every choice of single characters would make some 54,000 variants of a line of 330 characters.
     Up to ``LONG_LIST`` lines of one variant are compared with each other. Of more, each is held against the earliest and then, if that is
-    not near, against those with which it shares all but ``max_edits`` of twice as many parts, and at last against those of these that
-    also have equal numbers of some letters.
+    not near, against those with which it shares all but ``max_edits`` of four times as many parts (twice, for more than 2 edits).
     """
     if not 1 <= max_edits <= 4:
         raise ValueError("max_edits must be from 1 to 4")
@@ -206,8 +195,8 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, near_chars: int = 0) -> Dat
     copy, gone = unused("_copy", docs), unused("_removed", docs)
     keyed = _with_key(_lines(docs))
     names = _key_names(max_edits)
-    near = F.col("_len") >= near_chars
-    marked = keyed.select("_k1", "_k2", "_len", F.struct("doc_id", "line_no").alias("_at"), *[F.when(near, key).alias(name) for name, key in zip(names, _part_keys(F.col("line"), F.col("_len"), max_edits))])
+    wide = keyed.withColumn("_wide", F.encode("line", "UTF-32"))
+    marked = wide.select("_k1", "_k2", "_len", F.struct("doc_id", "line_no").alias("_at"), *[key.alias(name) for name, key in zip(names, _part_keys("_wide", "_len", max_edits))])
     distinct = cut(marked.groupBy("_k1", "_k2", "_len").agg(F.min("_at").alias("_at"), F.count("*").alias("_n"), *[F.min(c).alias(c) for c in names]))
     near_keys = cut(_near_lines(distinct, docs, max_edits, near_chars))
     flagged = attach(distinct, near_keys, ["_k1", "_k2"], near_keys.count()).where("_n > 1 or _is_near")
