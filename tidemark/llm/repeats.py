@@ -160,12 +160,12 @@ def merged_runs(runs: list[tuple[int, int]]) -> list[int]:
     return [start << 32 | end - start for start, end in out]
 
 
-def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
-    """Passages that other rows may share, by reference shard: shard, words, doc_id, copy, start, windows; and, without words, runs.
+def _routed(marked: DataFrame, window: int) -> DataFrame:
+    """Passages that other rows may share: anchor, words, doc_id, copy, start, windows; and, without words, runs.
 
     ``marked`` has the starts of such passages, doubled, plus one where the anchor is hot. A passage that its task has met at an
     earlier place is a repeat as a whole, so it is reported at once and not sent: a shard gets a passage once a task at most.
-    Passages of a hot anchor are sent window by window, to shards by the window's words.
+    Passages of a hot anchor are sent window by window, with a hash of the window's words for an anchor.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,6 +184,7 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
             for first, hashes, ends in hashed_words(batch.column("text").cast(pa.string())):
                 split = [split_words(t, False) for t in texts[first : first + len(ends)]]
                 anchor, text, start, size = passages(hashes, ends, window)
+                anchor = anchor.view(np.int64)
                 sent, repeats = [], []
                 bounds = np.searchsorted(text, np.arange(len(split) + 1)).tolist()
                 if len(met) > MOST_MET:
@@ -201,7 +202,7 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
                         if repeated:
                             runs.append((begin, n))
                         elif not hot:
-                            sent.append((int(anchor[i]) % shards, content, doc_id, copy, begin, n, None))
+                            sent.append((int(anchor[i]), content, doc_id, copy, begin, n, None))
                         else:
                             for w in range(begin, begin + n):
                                 content = b" ".join(words[w : w + window])
@@ -209,37 +210,51 @@ def _routed(marked: DataFrame, window: int, shards: int) -> DataFrame:
                                 if repeated:
                                     runs.append((w, 1))
                                 else:
-                                    sent.append((int.from_bytes(key[:8], "little") % shards, content, doc_id, copy, w, 1, None))
+                                    sent.append((int.from_bytes(key[:8], "little", signed=True), content, doc_id, copy, w, 1, None))
                     if runs:
-                        repeats.append((abs(copy) % shards, None, doc_id, copy, 0, 0, merged_runs(runs)))
+                        repeats.append((copy, None, doc_id, copy, 0, 0, merged_runs(runs)))
                 columns = list(zip(*sent, *repeats)) or [()] * 7
-                kinds = [pa.int32(), pa.binary(), batch.column("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-                yield pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(columns, kinds)], names=["shard", "words", "doc_id", "copy", "start", "windows", "runs"])
+                kinds = [pa.int64(), pa.binary(), batch.column("doc_id").type, pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(values, kind) for values, kind in zip(columns, kinds)], names=["anchor", "words", "doc_id", "copy", "start", "windows", "runs"])
 
     kind = dict(marked.dtypes)["doc_id"]
-    return python_rows(marked).mapInArrow(freed(rows), f"shard int, words binary, doc_id {kind}, copy long, start int, windows int, runs array<long>")
+    return python_rows(marked).mapInArrow(freed(rows), f"anchor long, words binary, doc_id {kind}, copy long, start int, windows int, runs array<long>")
 
 
-def seen_runs(contents: list[bytes], places: list[tuple], window: int) -> list[list[tuple[int, int]]]:
+def seen_runs(anchors: list[int], contents: list[bytes], places: list[tuple], windows: list[int], window: int) -> list[list[tuple[int, int]]]:
     """For the passages of a shard, at places (doc_id, start): the runs of windows of each that also start at an earlier place.
 
-    The automaton holds every passage, each distinct one at its earliest place; then the passages stream through it.
+    The automaton holds every passage, each distinct one at its earliest place; then the passages stream through it. It does without
+    a passage that is alone with its anchor: no other has a window of it, and no window comes twice in one passage.
     """
     rank = {doc_id: r << 32 for r, doc_id in enumerate(sorted({doc_id for doc_id, _ in places}))}
     earliest: dict[bytes, int] = {}
     for content, (doc_id, start) in zip(contents, places):
         place = rank[doc_id] + start
         earliest[content] = min(place, earliest.get(content, place))
-    automaton, numbers, sequences = SuffixAutomaton(), {}, {}
-    for content, place in earliest.items():
+    with_anchor: dict[int, set[bytes]] = {}
+    for anchor, content in zip(anchors, contents):
+        with_anchor.setdefault(anchor, set()).add(content)
+    automaton, numbers, sequences, first = SuffixAutomaton(), {}, {}, {}
+    for anchor, content in zip(anchors, contents):
+        place = earliest[content]
+        if content in sequences or content in first:
+            continue
+        if len(with_anchor[anchor]) == 1:
+            first[content] = range(place + window - 1, NEVER)
+            continue
         sequences[content] = [numbers.setdefault(word, len(numbers)) for word in content.split(b" ")]
         automaton.add(sequences[content], place)
     automaton.settle()
-    first = {content: [end for _, end in automaton.matching_statistics(sequence, window)[window - 1 :]] for content, sequence in sequences.items()}
+    for content, sequence in sequences.items():
+        first[content] = [end for _, end in automaton.matching_statistics(sequence, window)[window - 1 :]]
     out = []
-    for content, (doc_id, start) in zip(contents, places):
-        ends = range(rank[doc_id] + start + window - 1, NEVER)
-        out.append([(start + k, 1) for k, (known, own) in enumerate(zip(first[content], ends)) if known < own])
+    for content, (doc_id, start), n in zip(contents, places, windows):
+        place = rank[doc_id] + start
+        if earliest[content] < place:
+            out.append([(start, n)])
+        else:
+            out.append([(start + k, 1) for k, known in zip(range(n), first[content]) if known < place + window - 1 + k])
     return out
 
 
@@ -274,13 +289,14 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 
     def judge(shard: pa.Table) -> pa.Table:
         sent = shard.filter(pc.is_valid(shard["words"]))
-        runs = seen_runs(sent["words"].to_pylist(), list(zip(sent["doc_id"].to_pylist(), sent["start"].to_pylist())), window)
+        anchors, contents, docs, starts, windows = (sent[c].to_pylist() for c in ("anchor", "words", "doc_id", "start", "windows"))
+        runs = seen_runs(anchors, contents, list(zip(docs, starts)), windows, window)
         found = sent.select(["doc_id", "copy"]).append_column("runs", pa.array([merged_runs(r) for r in runs], pa.list_(pa.int64())))
         whole = shard.filter(pc.is_null(shard["words"])).select(["doc_id", "copy", "runs"])
         return pa.concat_tables([found.filter(pc.greater(pc.list_value_length(found["runs"]), 0)), whole], promote_options="permissive")
 
     kind = dict(docs.dtypes)["doc_id"]
-    verdicts = _routed(named.join(marked, ["doc_id", "copy"]), window, shards).groupBy("shard").applyInArrow(judge, f"doc_id {kind}, copy long, runs array<long>")
+    verdicts = _routed(named.join(marked, ["doc_id", "copy"]), window).groupBy(F.pmod("anchor", F.lit(shards))).applyInArrow(judge, f"doc_id {kind}, copy long, runs array<long>")
     repeats = cut(verdicts.groupBy("doc_id", "copy").agg(F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs")))
     del shared, marked, verdicts
     release(spark)
