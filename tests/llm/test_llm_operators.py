@@ -93,7 +93,7 @@ def test_shards_are_even_gapless_and_keep_groups(docs, nothing):
 
 def test_fixed_capacity_opens_few_shards_and_large_groups_are_dealt(spark):
     rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(10).cast("long").alias("size"), F.when(F.col("id") < 1500, "hot").otherwise(F.col("id").cast("string")).alias("g"))
-    out = sharding.shard_groups(rows, "g", "size", capacity=1000).toPandas()
+    out = sharding.shard_groups(rows, "g", "size", capacity=1000, divide_large=True).toPandas()
     used = out.groupby("shard")["size"].sum()
     assert used.max() <= 1000 and len(used) <= 23 and len(out) == 2000
 

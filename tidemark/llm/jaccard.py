@@ -88,7 +88,9 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
             yield shared()
 
     kind = dict(docs.dtypes)["doc_id"]
-    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(sign), f"doc_id {kind}, n long, key long, is_token boolean")
+    # As text, an id keeps its digits in pandas, where whole numbers with nulls among them would become floating point.
+    signed = python_rows(docs.select(F.col("doc_id").cast("string"), "text")).mapInPandas(freed(sign), "doc_id string, n long, key long, is_token boolean")
+    return signed.withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _prefixes(docs: DataFrame, width: int, frequent: dict[str, np.ndarray], num: int, den: int) -> DataFrame:

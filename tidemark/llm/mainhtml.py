@@ -7,10 +7,9 @@ import re
 from collections.abc import Iterator
 from html import unescape
 
-import pandas as pd
 from pyspark.sql import DataFrame
 
-from tidemark.llm.shared import freed, python_rows
+from tidemark.llm.shared import map_rows
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 GAP = re.compile(r"[\s/]*")
@@ -396,10 +395,7 @@ def main_text(html: str | None) -> str:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page; one row each, whatever the html holds (null html: empty text)."""
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [main_text(html) for html in batch["html"]]
-            yield batch[["page_id", "url"]].assign(text=texts, n_chars=pd.Series([len(t) for t in texts], index=batch.index, dtype="int64"))
+    def extract(htmls: list[str | None]) -> list[tuple]:
+        return [(text, len(text)) for text in map(main_text, htmls)]
 
-    kind = dict(pages.dtypes)["page_id"]
-    return python_rows(pages.select("page_id", "url", "html")).mapInPandas(freed(extract), f"page_id {kind}, url string, text string, n_chars long")
+    return map_rows(pages, ["page_id", "url"], ["html"], {"text": "string", "n_chars": "long"}, extract)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from tidemark.llm.shared import cut
+from tidemark.llm.shared import cut, set_aside
 
-#: Hash buckets to find where a source's sample ends: hexadecimal digits of a row's hash.
-BUCKET_DIGITS = 3
+#: Rows of a hash bucket, about; a source's sample ends in one of its buckets, whose rows are sorted together.
+BUCKET_ROWS = 20_000
 
 #: Sources that may be broadcast.
 MOST_BROADCAST_SOURCES = 100_000
@@ -53,13 +55,14 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
 
     The sample's end is found by words per hash bucket; only rows of the one bucket of a source where it ends
     are sorted together. Empty tables give empty results; size 0 and null sources are ordinary; rows repeated
-    in full share a hash and one may be taken without the other; further columns are carried along.
+    in full share a hash and one may be taken without the other; further columns are carried along, but for input columns named like
+    the four that are added, which are replaced. Sources are ranked in one task, a row each, so there may be millions, not billions.
     """
-    further = [c for c in sized.columns if c not in ("doc_id", "source", "size")]
-    sized = sized.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))))
-    sized = cut(sized.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS)))
-    buckets = sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words"))
-    buckets = cut(buckets)
+    sized, restored = set_aside(sized, ["doc_id", "source", "size"], ["source_size", "target", "repeats", "taken"])
+    sized = cut(sized.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))))
+    digits = max(1, math.ceil(math.log(max(1, sized.count() / BUCKET_ROWS), 16)))
+    sized = sized.withColumn("_bucket", F.substring("_hash", 1, digits))
+    buckets = cut(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
     plans = (
         targets.withColumn("whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long"))
@@ -79,7 +82,7 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
     plans = cut(plans)
     few = plans.count() <= MOST_BROADCAST_SOURCES
     rows = sized.join(F.broadcast(plans) if few else plans, sized["source"].eqNullSafe(plans["_source"])).drop("_source")
-    ordered = W.partitionBy("source").orderBy("_hash", "doc_id", "size", F.xxhash64(*further) if further else F.lit(0)).rowsBetween(W.unboundedPreceding, -1)
+    ordered = W.partitionBy("source").orderBy("_hash", "doc_id", "size", F.xxhash64("_further")).rowsBetween(W.unboundedPreceding, -1)
     ending = (
         rows.where(F.col("_bucket") == F.col("_end"))
         .withColumn("_before", F.coalesce(F.sum("size").over(ordered), F.lit(0)))
@@ -88,4 +91,4 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
     )
     clear = rows.where(F.col("_bucket") != F.col("_end")).withColumn("_extra", (F.col("_bucket") < F.col("_end")).cast("long"))
     mixed = clear.unionByName(ending).withColumn("repeats", F.col("whole") + F.col("_extra"))
-    return mixed.withColumn("taken", F.col("repeats") * F.col("size")).drop("_hash", "_bucket", "_end", "_need", "_extra", "whole")
+    return restored(mixed.withColumn("taken", F.col("repeats") * F.col("size")))

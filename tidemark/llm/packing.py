@@ -7,7 +7,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -442,20 +441,26 @@ def pack_sequences(docs: DataFrame, tokenizer: str, window: int = 2048, end_id:
     plan = PackingPlan(histogram, window)
     ranked = number_rows(pieces, ["length"], ["doc_id", "start"], "_number", sum(histogram.values()))
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tables = {length: np.array(rows, dtype=np.int64).reshape(-1, 3) for length, rows in plan.ranges.items()}
+    columns = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # All ranges in one sorted table, by length and first number; each piece finds its own by one look-up.
+        table = np.array([(length << 44 | first, first, sequence, offset) for length, rows in sorted(plan.ranges.items()) for first, sequence, offset in rows], dtype=np.int64).reshape(-1, 4)
         for batch in batches:
-            rows = []
-            for doc_id, start, length, crc, ids, total, number in zip(*(batch[c] for c in ("doc_id", "start", "length", "crc", "ids", "doc_tokens", "_number"))):
-                found = tables[length]
-                first, sequence, offset = found[np.searchsorted(found[:, 0], number, "right") - 1].tolist()
-                if sequence >= 0:
-                    rows.append((doc_id, start, length, crc, total, sequence + number - first, offset))
-                    continue
-                values = np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * length else "<u4")
-                for begin, part, sequence, inside in plan.stream_parts(offset + (number - first) * length, length):
-                    rows.append((doc_id, start + begin, part, checksum(values[begin : begin + part]), total, sequence, inside))
-            yield pd.DataFrame(rows, columns=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
+            start, length, crc, total, number = (batch.column(c).to_numpy() for c in ("start", "length", "crc", "doc_tokens", "_number"))
+            found = table[np.searchsorted(table[:, 0], length << 44 | number, "right") - 1] if len(table) else np.zeros((0, 4), dtype=np.int64)
+            placed = np.flatnonzero(found[:, 2] >= 0)
+            whole = [start, length, crc, total, found[:, 2] + number - found[:, 1], found[:, 3]]
+            parts = []
+            ids = batch.column("ids")
+            for k in np.flatnonzero(found[:, 2] < 0).tolist():
+                n, values = int(length[k]), ids[k].as_py()
+                values = np.frombuffer(values, dtype="<u2" if len(values) == 2 * n else "<u4")
+                for begin, part, sequence, inside in plan.stream_parts(int(found[k, 3]) + int(number[k] - found[k, 1]) * n, n):
+                    parts.append((k, int(start[k]) + begin, part, checksum(values[begin : begin + part]), int(total[k]), sequence, inside))
+            cut_up = np.array(parts, dtype=np.int64).reshape(-1, 7)
+            rows = batch.column("doc_id").take(pa.array(np.concatenate([placed, cut_up[:, 0]])))
+            yield pa.RecordBatch.from_arrays([rows, *[pa.array(np.concatenate([values[placed], cut_up[:, 1 + c]])) for c, values in enumerate(whole)]], names=columns)
 
     kind = dict(docs.dtypes)["doc_id"]
-    return python_rows(ranked).mapInPandas(freed(place), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    return python_rows(ranked).mapInArrow(freed(place), f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import freed, python_rows
+from tidemark.llm.shared import map_rows
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -55,13 +54,7 @@ def text_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
     rows are independent of each other, so ties, repeated rows and empty tables need no care.
     """
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            found = np.array([statistics_of(text) for text in batch["text"]], dtype="int64").reshape(-1, len(STATISTICS))
-            yield pd.concat([batch[keep].reset_index(drop=True), pd.DataFrame(found, columns=STATISTICS)], axis=1)
-
-    schema = ", ".join([f"`{c}` {t}" for c, t in docs.select(*keep).dtypes] + [f"{c} long" for c in STATISTICS])
-    return python_rows(docs.select(*dict.fromkeys([*keep, "text"]))).mapInPandas(freed(measure), schema)
+    return map_rows(docs, keep, ["text"], dict.fromkeys(STATISTICS, "long"), lambda texts: [tuple(statistics_of(text)) for text in texts])
 
 
 #: Interpretable ratios over the statistics, as SQL; rules are conjunctions of thresholds on these and on n_words.

@@ -53,7 +53,7 @@ def spans_text(spans: str) -> Column:
 
 def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations as preference pairs: an even conv_id is chosen over the odd one that follows it."""
-    turns = table(spark, sf_dir, "conversations").select(F.floor(F.col("conv_id") / 2).alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
+    turns = table(spark, sf_dir, "conversations").select(F.expr("conv_id div 2").alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
     pairs = format_preferences(turns)
     return pairs.select("pair_id", "status", "n_common", "prompt", "chosen", "rejected", spans_text("chosen_spans").alias("chosen_spans"), spans_text("rejected_spans").alias("rejected_spans"))
 

@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import cut, freed, python_rows, release
+from tidemark.llm.shared import cut, freed, map_rows, python_rows, release
 from tidemark.llm.shingles import hashed_words, rolling, split_words
 
 #: Words of the anchors by which equal windows find each other.
@@ -301,25 +300,25 @@ def remove_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     del shared, marked, verdicts
     release(spark)
 
-    def strip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text, runs in zip(batch["doc_id"], batch["text"], batch["runs"]):
-                words = split_words(text, False)
-                if runs is None or not len(runs):
-                    rows.append((doc_id, len(words), 0, [], b" ".join(words).decode()))
-                    continue
-                ordered = np.sort(np.asarray(runs, dtype=np.int64))
-                starts = ordered >> 32
-                ends = np.maximum.accumulate(starts + (ordered & 0xFFFFFFFF) - 1 + window)
-                breaks = np.flatnonzero(starts[1:] > ends[:-1])
-                begin, end = starts[np.append(0, breaks + 1)].tolist(), ends[np.append(breaks, len(ends) - 1)].tolist()
-                kept, at = [], 0
-                for b, e in zip(begin, end):
-                    kept += words[at:b]
-                    at = e
-                kept += words[at:]
-                rows.append((doc_id, len(words), len(words) - len(kept), [{"start": b, "end": e} for b, e in zip(begin, end)], b" ".join(kept).decode()))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_words", "n_removed", "spans", "kept"])
-
-    return python_rows(ours.join(repeats, ["doc_id", "copy"], "left")).mapInPandas(freed(strip), f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start: int, end: int>>, kept string")
+    def strip(texts: list[str | None], all_runs: list[list[int] | None]) -> list[tuple]:
+        rows = []
+        for text, runs in zip(texts, all_runs):
+            words = split_words(text, False)
+            if not runs:
+                rows.append((len(words), 0, [], b" ".join(words).decode()))
+                continue
+            ordered = np.sort(np.array(runs, dtype=np.int64))
+            starts = ordered >> 32
+            ends = np.maximum.accumulate(starts + (ordered & 0xFFFFFFFF) - 1 + window)
+            breaks = np.flatnonzero(starts[1:] > ends[:-1])
+            begin, end = starts[np.append(0, breaks + 1)].tolist(), ends[np.append(breaks, len(ends) - 1)].tolist()
+            kept, at = [], 0
+            for b, e in zip(begin, end):
+                kept += words[at:b]
+                at = e
+            kept += words[at:]
+            rows.append((len(words), len(words) - len(kept), [{"start": b, "end": e} for b, e in zip(begin, end)], b" ".join(kept).decode()))
+        return rows
+
+    added = {"n_words": "long", "n_removed": "long", "spans": "array<struct<start: int, end: int>>", "kept": "string"}
+    return map_rows(ours.join(repeats, ["doc_id", "copy"], "left"), ["doc_id"], ["text", "runs"], added, strip)

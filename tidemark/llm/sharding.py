@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.shared import attach, cut, number_rows
+from tidemark.llm.shared import attach, cut, number_rows, set_aside
 
 #: Groups that one task packs at once.
 LOT_GROUPS = 20_000
@@ -17,7 +17,7 @@ LOT_GROUPS = 20_000
 #: Groups of at least a shard's size over this are packed first, on the driver: there are at most this many times as many as shards.
 HEAD_PARTS = 64
 
-#: A group over a shard's size is dealt by row hash into parts of about a shard's size over this.
+#: Where large groups are divided: a group over a shard's size is dealt by row hash into parts of about a shard's size over this.
 SPLIT_PARTS = 8
 
 
@@ -122,28 +122,45 @@ def best_fit_decreasing(sizes: list[int], capacity: int, room: list[int] | None
     return bins, left
 
 
-def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = None, capacity: int | None = None) -> DataFrame:
+def shard_rooms(sizes: list[int], total: int, n_shards: int) -> list[int]:
+    """What each shard is to hold: a group of more than an even share of what the larger ones leave fills a shard, the others are even."""
+    rooms, rest = [], total
+    for size in sorted(sizes, reverse=True):
+        shards = n_shards - len(rooms)
+        if shards < 2 or size * shards <= rest:
+            break
+        rooms.append(size)
+        rest -= size
+    shards = n_shards - len(rooms)
+    return rooms + [max(1, -(-rest // shards))] * shards
+
+
+def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = None, capacity: int | None = None, divide_large: bool = False) -> DataFrame:
     """Add ``shard`` (int) and ``slot`` (long, gapless from 0 in its shard) to rows; equal keys are one indivisible group.
 
     With ``n_shards`` the capacity is the least that can hold all, and shards come out near equal in bytes. With
     ``capacity`` as many shards are opened as best fit decreasing needs, up to ``LOT_GROUPS`` groups; more are packed in lots,
-    whose bins are then packed like groups, so that lots don't each keep a shard part empty. A group larger than a whole shard can't stay
-    together and is dealt, by a hash of its rows, into parts that are packed like groups. With ``n_shards`` the few
-    largest groups are packed first, on the driver; the others are dealt into lots of ``LOT_GROUPS`` and each lot fills
+    whose bins are then packed like groups, so that lots don't each keep a shard part empty. A group larger than a shard's share has a
+    shard of its own, and the others share the rest evenly; with ``divide_large`` it is dealt instead, by a hash of its rows, into
+    parts that are packed like groups. With ``n_shards`` the few largest groups are packed first, on the driver; the others are dealt into lots of ``LOT_GROUPS`` and each lot fills
     its share of what the shards have left, so that no task or driver holds more than a bounded number of groups.
-    Rows need a non-null key and size and an ``doc_id`` column, which orders a shard. An empty table gives no rows.
+    Rows need a non-null key and size and an ``doc_id`` column, which orders a shard. Input columns named ``shard`` or ``slot`` are
+    replaced, all others carried along. Repeated rows are rows of one group; an empty table gives no rows.
     """
     if (n_shards is None) == (capacity is None):
         raise ValueError("give either n_shards or capacity")
+    rows, restored = set_aside(rows, list(dict.fromkeys(["doc_id", key, size])), ["shard", "slot"])
     rows = cut(rows)
     groups = rows.groupBy(key).agg(F.sum(size).alias("_bytes"))
     total, n_groups = groups.agg(F.coalesce(F.sum("_bytes"), F.lit(0)), F.count("*")).first()
     n_rows = rows.count()
     fixed = n_shards is not None
     capacity = max(1, -(-total // n_shards)) if fixed else capacity
-    large = cut(groups.where(F.col("_bytes") > capacity).select(F.col(key), F.ceil(F.col("_bytes") * SPLIT_PARTS / F.lit(capacity)).alias("_parts")))
-    n_large = large.count()
-    rows = attach(rows, large, key, n_large).withColumn("_part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")), F.lit(0))).drop("_parts")
+    if divide_large:
+        large = cut(groups.where(F.col("_bytes") > capacity).select(F.col(key), F.ceil(F.col("_bytes") * SPLIT_PARTS / F.lit(capacity)).alias("_parts")))
+        rows = attach(rows, large, key, large.count()).withColumn("_part", F.coalesce(F.pmod(F.xxhash64("doc_id"), F.col("_parts")), F.lit(0))).drop("_parts")
+    else:
+        rows = rows.withColumn("_part", F.lit(0).cast("long"))
     units = rows.groupBy(key, "_part").agg(F.sum(size).alias("_bytes"))
     unit_type = T.StructType([rows.schema[key], T.StructField("_part", T.LongType()), T.StructField("shard", T.IntegerType())])
     lots = max(1, -(-n_groups // LOT_GROUPS))
@@ -153,7 +170,7 @@ def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = No
         least = max(1, capacity // HEAD_PARTS)
         units = cut(units)
         head = sorted(((r["_bytes"], str(r[key]), r["_part"], r[key]) for r in units.where(F.col("_bytes") >= least).collect()), key=lambda r: (-r[0], r[1], r[2]))
-        bins, left = best_fit_decreasing([r[0] for r in head], capacity, [capacity] * n_shards)
+        bins, left = best_fit_decreasing([r[0] for r in head], capacity, shard_rooms([r[0] for r in head], total, n_shards))
         left = [max(0, x) for x in left]
         shares = [x / max(1, sum(left)) for x in left]
 
@@ -205,4 +222,4 @@ def shard_groups(rows: DataFrame, key: str, size: str, n_shards: int | None = No
         shards = cut(bins.select("_bin", (F.row_number().over(W.orderBy("_bin")) - 1).cast("int").alias("shard")))
         placed = attach(placed, shards, "_bin", n_bins, "inner").select(key, "_part", "shard")
     sharded = cut(rows.join(cut(placed), [key, "_part"]).drop("_part"))
-    return number_rows(sharded, ["shard"], ["doc_id"], "slot", n_rows)
+    return restored(number_rows(sharded, ["shard"], ["doc_id"], "slot", n_rows))

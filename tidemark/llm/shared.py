@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "release", "few", "unused", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "map_rows", "release", "few", "set_aside", "unused", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +57,26 @@ def freed(stage: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return run
 
 
+#: Arrow types of the columns that ``map_rows`` adds.
+ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<struct<start: int, end: int>>": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))}
+
+
+def map_rows(rows: DataFrame, keep: list[str], read: list[str], added: dict[str, str], measure: Callable[..., list[tuple]]) -> DataFrame:
+    """The columns ``keep`` of every row, and those that ``measure`` makes of the lists of the columns ``read``, a tuple a row.
+
+    Kept columns pass as Arrow arrays: in pandas, whole numbers with nulls among them would become floating point and lose digits.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            made = list(zip(*measure(*(batch.column(c).to_pylist() for c in read)))) or [()] * len(added)
+            arrays = [batch.column(c) for c in keep] + [pa.array(values, ARROW[kind]) for values, kind in zip(made, added.values())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *added])
+
+    schema = ", ".join([f"`{c}` {t}" for c, t in rows.select(*keep).dtypes] + [f"{c} {t}" for c, t in added.items()])
+    return python_rows(rows.select(*dict.fromkeys([*keep, *read]))).mapInArrow(freed(run), schema)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files and checkpoints of frames that are no longer used; else they stay until the driver happens to collect its garbage."""
     gc.collect()
@@ -122,6 +142,21 @@ def unused(name: str, rows: DataFrame) -> str:
     return name
 
 
+def set_aside(rows: DataFrame, own: list[str], made: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """Rows with the columns that an operator reads, all others in one struct, so that no name clashes; and what restores them.
+
+    Columns named like those that the operator makes are replaced by these.
+    """
+    taken = {c.lower() for c in (*own, *made)}
+    further = [c for c in rows.columns if c.lower() not in taken]
+    held = F.struct(*[F.col(f"`{c}`") for c in further]) if further else F.lit(None).cast("int")
+
+    def restored(out: DataFrame) -> DataFrame:
+        return out.select(*own, *[F.col("_further").getField(c).alias(c) for c in further], *made)
+
+    return rows.select(*own, held.alias("_further")), restored
+
+
 def keep_ids(rows: DataFrame, ids: DataFrame, key: str, n_ids: int) -> DataFrame:
     """Rows whose key is among ``ids``: map-side while there are few ids, by a shuffle beyond."""
     side = ids.select(key)

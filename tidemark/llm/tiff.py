@@ -9,10 +9,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.shared import freed, python_rows
+from tidemark.llm.shared import freed, map_rows, python_rows
 
 # Fixed values of the TIFF 6.0 format: tags, compression schemes, and bytes per field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, FILL_ORDER = 256, 257, 258, 259, 262, 266
@@ -320,14 +320,16 @@ def walk_pages(data: bytes | None) -> Iterator[Page]:
 def decode_tiff(media: DataFrame, key: str, content: str) -> DataFrame:
     """One row per page of a binary column: key, page, width, height, samples, bits, data, error."""
 
-    def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int32()] * 5 + [pa.binary(), pa.string()]
         for batch in batches:
-            for name, value in zip(batch[key], batch[content]):
-                for p in walk_pages(value):
-                    yield pd.DataFrame([(name, p.number, p.width, p.height, p.samples, p.bits, p.data, p.error)], columns=[key, "page", "width", "height", "samples", "bits", "data", "error"])
+            for k, value in enumerate(batch.column(content)):
+                for p in walk_pages(value.as_py()):
+                    made = [pa.array([v], kind) for v, kind in zip((p.number, p.width, p.height, p.samples, p.bits, p.data, p.error), kinds)]
+                    yield pa.RecordBatch.from_arrays([batch.column(key).slice(k, 1), *made], names=[key, "page", "width", "height", "samples", "bits", "data", "error"])
 
     kind = dict(media.dtypes)[key]
-    return python_rows(media.select(key, content)).mapInPandas(freed(pages), f"`{key}` {kind}, page int, width int, height int, samples int, bits int, data binary, error string")
+    return python_rows(media.select(key, content)).mapInArrow(freed(pages), f"`{key}` {kind}, page int, width int, height int, samples int, bits int, data binary, error string")
 
 
 #: Payload unit and image width: one row of samples a unit.
@@ -374,19 +376,17 @@ def text_media(docs: DataFrame) -> DataFrame:
     have several pages, each of ``PAGE_ROWS`` rows at most. Columns other than doc_id and text are not read.
     """
 
-    def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                n_bytes, layout, media = store_payload(text)
-                pages = list(walk_pages(media))
-                for page in pages:
-                    if page.error:
-                        raise TiffError(page.error)
-                payload = b"".join(p.data for p in pages)
-                rows.append((doc_id, n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), describe(pages, payload), layout, len(pages)))
-            yield pd.DataFrame(rows, columns=["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "layout", "n_pages"])
-
-    kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, layout string, n_pages int"
-    return python_rows(docs.select("doc_id", "text")).mapInPandas(freed(convert), schema)
+    def convert(texts: list[str | None]) -> list[tuple]:
+        rows = []
+        for text in texts:
+            n_bytes, layout, media = store_payload(text)
+            pages = list(walk_pages(media))
+            for page in pages:
+                if page.error:
+                    raise TiffError(page.error)
+            payload = b"".join(p.data for p in pages)
+            rows.append((n_bytes, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), describe(pages, payload), layout, len(pages)))
+        return rows
+
+    added = {"n_bytes": "long", "payload_bytes": "long", "payload_sha256": "string", "tail_crc32": "long", "media_bytes": "long", "media_sha256": "string", "feature": "string", "layout": "string", "n_pages": "int"}
+    return map_rows(docs, ["doc_id"], ["text"], added, convert)
