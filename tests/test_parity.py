@@ -5,7 +5,7 @@ import math
 import duckdb
 import pytest
 
-from tidemark.plans import catalog, domain, joins, reads, registry  # noqa: F401
+from tidemark.plans import catalog, domain, joins, reads, registry, views  # noqa: F401
 
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 SF = "/root/testdata/sf0.001"

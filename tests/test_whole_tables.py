@@ -5,7 +5,7 @@ from collections import defaultdict
 
 import pytest
 
-from tidemark.plans import catalog, domain, joins, reads, registry  # noqa: F401
+from tidemark.plans import catalog, domain, joins, reads, registry, views  # noqa: F401
 
 
 def run(spark, name, folder):
