@@ -19,7 +19,7 @@ from tidemark.llm.shingles import shingle_sets
 LONG_LIST = 64
 
 #: A chunk of sets of so many tokens reports those that so many of its sets share, to order them last.
-CHUNK_TOKENS, CHUNK_REPEATS = 4_000_000, 4
+CHUNK_TOKENS, CHUNK_REPEATS = 1_500_000, 4
 
 #: Frequent tokens that a plan may hold; the least frequent are left out, which costs time only.
 MOST_FREQUENT = 400_000
@@ -28,13 +28,13 @@ MOST_FREQUENT = 400_000
 MOST_MATCHES, FALL, VERIFY_COST, PLAIN_FREQUENCY = 4, 0.3, 20.0, 1.5
 
 #: Set keys that a task remembers, to emit copies once.
-MOST_MET = 1_000_000
+MOST_MET = 300_000
 
 #: Parts that the rows of a frequent token are dealt over.
 FREQUENT_PARTS = 64
 
 #: Sets on either side of a block that compares the members of a long list.
-BLOCK_ROWS, BLOCK_COLUMNS, BLOCK_TOKENS = 512, 2048, 4096
+BLOCK_ROWS, BLOCK_COLUMNS, BLOCK_TOKENS = 256, 512, 4096
 
 
 def least_overlap(n: int, num: int, den: int) -> int:
@@ -178,10 +178,13 @@ def _long_list_links(members: DataFrame, sets: DataFrame, labels: DataFrame, num
     """
     labelled = cut(members.join(labels, "key", "left").withColumn("label", F.coalesce("label", "key")))
     largest = labelled.groupBy("family", "label").count().groupBy("family").agg(F.max_by("label", F.struct("count", "label")).alias("largest"), F.sum("count").alias("members"))
-    open_members = labelled.join(largest, "family").withColumn("is_open", F.col("label") != F.col("largest"))
+    largest = cut(largest)
+    # One row a family, so a family of any size is not brought together by this.
+    open_members = attach(labelled, largest, "family", largest.count(), "inner").withColumn("is_open", F.col("label") != F.col("largest"))
     counts = open_members.groupBy("family").agg(F.count_if("is_open").alias("open"), F.count("*").alias("members")).where("open > 0")
     counts = counts.select("family", F.ceil(F.col("open") / BLOCK_ROWS).cast("int").alias("rows"), F.ceil(F.col("members") / BLOCK_COLUMNS).cast("int").alias("columns"))
-    dealt = cut(open_members.join(counts, "family").select("family", "key", "label", "is_open", "rows", "columns"))
+    counts = cut(counts)
+    dealt = cut(attach(open_members, counts, "family", counts.count(), "inner").select("family", "key", "label", "is_open", "rows", "columns"))
     with_sets = dealt.join(sets, "key")
     place = F.xxhash64("key")
     right = with_sets.select("family", "key", "label", "tokens", F.explode(F.sequence(F.lit(0), F.col("rows") - 1)).alias("row"), F.pmod(place, F.col("columns")).alias("column"), F.lit(False).alias("asks"))
