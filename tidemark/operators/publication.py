@@ -17,7 +17,7 @@ def run_violations(runs: DataFrame, units: DataFrame) -> DataFrame:
 
     A run's units need distinct asset ids, the run's document, and order_index 1 to n; their stored hashes and the run's two
     aggregates must be those that are computed anew. Hash checks follow only where the set of units is in order, as an aggregate over a wrong
-    set says nothing. Units are counted and hashed where they lie; a run is brought together for its aggregates only.
+    set says nothing. A run without units has the aggregates of nothing. Units are counted and hashed where they lie; a run is brought together for its aggregates only.
     """
     run = runs.select("processing_run_id", F.col("document_id").alias("_document"), F.col("content_hash_aggregate").alias("_content"), F.col("structure_hash").alias("_structure"))
     owned = units.join(run.select("processing_run_id", "_document"), "processing_run_id")
@@ -29,14 +29,17 @@ def run_violations(runs: DataFrame, units: DataFrame) -> DataFrame:
     named = lambda names: F.explode(F.array_compact(F.array(*[F.when(F.col(n), F.lit(n)) for n in names])))
     wrong_sets = sets.select("processing_run_id", named(["duplicate_asset_id", "document_mismatch", "order_index_not_contiguous"]).alias("reason"))
     fields = [c for c in units.columns if c not in HASHES]
-    stored = units.join(wrong_sets.select("processing_run_id").distinct(), "processing_run_id", "left_anti").select(*fields, *[F.col(h).alias(f"_{h}") for h in HASHES])
+    orderly = run.join(wrong_sets.select("processing_run_id").distinct(), "processing_run_id", "left_anti")
+    stored = units.join(orderly.select("processing_run_id"), "processing_run_id", "left_semi").select(*fields, *[F.col(h).alias(f"_{h}") for h in HASHES])
     hashed = intake.unit_hashes(stored)
     differs = hashed.withColumns({"canonical_json_invalid": F.col("hash_error").isNotNull(), **{f"{h}_mismatch": F.col("hash_error").isNull() & ~F.col(h).eqNullSafe(F.col(f"_{h}")) for h in HASHES}})
     wrong_units = differs.select("processing_run_id", named(["canonical_json_invalid", *[f"{h}_mismatch" for h in HASHES]]).alias("reason")).distinct()
     content = intake.sorted_hash(hashed, ["processing_run_id"], "content_hash", "_now_content")
     structure = intake.ordered_hash(hashed, ["processing_run_id"], ["order_index"], "structure_hash", "_now_structure")
-    both = run.join(content, "processing_run_id").join(structure, "processing_run_id")
-    both = both.withColumns({"content_hash_aggregate_mismatch": ~F.col("_content").eqNullSafe(F.col("_now_content")), "run_structure_hash_mismatch": ~F.col("_structure").eqNullSafe(F.col("_now_structure"))})
+    both = orderly.join(content, "processing_run_id", "left").join(structure, "processing_run_id", "left")
+    nothing = F.concat(F.lit("sha256:"), F.sha2(F.lit(""), 256))
+    differs_from = lambda stored_one, now: ~F.col(stored_one).eqNullSafe(F.coalesce(F.col(now), nothing))
+    both = both.withColumns({"content_hash_aggregate_mismatch": differs_from("_content", "_now_content"), "run_structure_hash_mismatch": differs_from("_structure", "_now_structure")})
     wrong_runs = both.select("processing_run_id", named(["content_hash_aggregate_mismatch", "run_structure_hash_mismatch"]).alias("reason"))
     return wrong_sets.union(wrong_units).union(wrong_runs)
 
