@@ -52,9 +52,14 @@ def spans_text(spans: str) -> Column:
 
 
 def op3_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All conversations as preference pairs: an even conv_id is chosen over the odd one that follows it."""
-    turns = table(spark, sf_dir, "conversations").select(F.expr("conv_id div 2").alias("pair_id"), (F.col("conv_id") % 2 == 0).alias("is_chosen"), "turn", "role", "text")
-    pairs = format_preferences(turns)
+    """Every conversation as chosen over its copy whose last assistant turn says what that of the following conv_id says."""
+    turns = table(spark, sf_dir, "conversations").where("conv_id is not null").select("conv_id", "turn", "role", "text")
+    lasts = turns.where("role = 'assistant'").groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
+    own = lasts.select("conv_id", F.col("last.turn").alias("last_turn"))
+    other = lasts.select((F.col("conv_id") - 1).alias("conv_id"), F.col("last.text").alias("other_text"))
+    replaced = F.coalesce(F.when((F.col("turn") == F.col("last_turn")) & (F.col("role") == "assistant"), F.col("other_text")), F.col("text"))
+    rejected = turns.join(own, "conv_id", "left").join(other, "conv_id", "left").select("conv_id", F.lit(False).alias("is_chosen"), "turn", "role", replaced.alias("text"))
+    pairs = format_preferences(turns.select("conv_id", F.lit(True).alias("is_chosen"), "turn", "role", "text").union(rejected).withColumnRenamed("conv_id", "pair_id"))
     return pairs.select("pair_id", "status", "n_common", "prompt", "chosen", "rejected", spans_text("chosen_spans").alias("chosen_spans"), spans_text("rejected_spans").alias("rejected_spans"))
 
 
@@ -187,9 +192,12 @@ QUERIES = {
 }
 
 OP3_SQL = r"""
-WITH turns AS (
-  SELECT conv_id // 2 AS pair_id, conv_id % 2 = 0 AS is_chosen, turn, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|', '< |') AS text
-  FROM conversations WHERE conv_id IS NOT NULL),
+WITH lasts AS (SELECT conv_id, max({'t': turn, 'x': text}) AS last FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+sides AS (
+  SELECT conv_id AS pair_id, true AS is_chosen, turn, role, text FROM conversations WHERE conv_id IS NOT NULL
+  UNION ALL SELECT c.conv_id, false, c.turn, c.role, coalesce(CASE WHEN c.turn = o.last.t AND c.role = 'assistant' THEN n.last.x END, c.text)
+  FROM conversations c LEFT JOIN lasts o ON o.conv_id = c.conv_id LEFT JOIN lasts n ON n.conv_id = c.conv_id + 1 WHERE c.conv_id IS NOT NULL),
+turns AS (SELECT pair_id, is_chosen, turn, coalesce(role, '') AS role, replace(coalesce(text, ''), '<|', '< |') AS text FROM sides),
 numbered AS (
   SELECT *, row_number() OVER (PARTITION BY pair_id, is_chosen ORDER BY turn NULLS FIRST, role, text) AS i FROM turns),
 matched AS (
@@ -201,7 +209,7 @@ sized AS (
   FROM numbered n LEFT JOIN common c ON c.pair_id = n.pair_id),
 placed AS (
   SELECT *, coalesce(sum(head + body + 1) OVER (PARTITION BY pair_id, is_chosen, i > n_common ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos FROM sized),
-sides AS (
+whole AS (
   SELECT pair_id, is_chosen, max(i) AS turns, max(n_common)::INTEGER AS n_common,
     coalesce(string_agg(shown, '' ORDER BY i) FILTER (i <= n_common), '') AS prompt,
     coalesce(string_agg(shown, '' ORDER BY i) FILTER (i > n_common), '') AS rest,
@@ -211,7 +219,7 @@ SELECT coalesce(a.pair_id, b.pair_id)::BIGINT AS pair_id,
   CASE WHEN a.pair_id IS NULL THEN 'no_chosen' WHEN b.pair_id IS NULL THEN 'no_rejected' WHEN a.rest = '' AND b.rest = '' THEN 'identical'
        WHEN a.rest = '' OR b.rest = '' THEN 'prefix' ELSE 'pair' END AS status,
   coalesce(a.n_common, b.n_common)::INTEGER AS n_common, coalesce(a.prompt, b.prompt) AS prompt, a.rest AS chosen, b.rest AS rejected, a.spans AS chosen_spans, b.spans AS rejected_spans
-FROM (SELECT * FROM sides WHERE is_chosen) a FULL JOIN (SELECT * FROM sides WHERE NOT is_chosen) b ON a.pair_id = b.pair_id
+FROM (SELECT * FROM whole WHERE is_chosen) a FULL JOIN (SELECT * FROM whole WHERE NOT is_chosen) b ON a.pair_id = b.pair_id
 """
 
 
