@@ -62,10 +62,6 @@ def report_period(title: Column, kind: Column) -> Column:
     return F.when(kind == "annual", F.concat(year, F.lit("A"))).when(kind == "interim", F.concat(year, F.lit("Q2"))).when(kind == "quarterly", F.concat(year, F.lit("Q"), quarter))
 
 
-def is_period(label: Column) -> Column:
-    return label.rlike(r"^\d{4}(A|Q[1-4])$")
-
-
 def semantic_key(parts: Mapping[str, Column]) -> Column:
     """name=value joined by "|"; a missing value is written None."""
     return F.concat_ws("|", *[F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit("None"))) for name, value in parts.items()])

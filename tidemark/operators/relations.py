@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.session import cut
+
 
 def neighbours(hits: DataFrame, rows: DataFrame, group: str, position: str, radius: int) -> DataFrame:
     """Rows within ``radius`` positions of a hit in its group: one range frame over rows and hits together.
@@ -52,19 +54,26 @@ def change_kind(pairs: DataFrame, had_previous: bool) -> DataFrame:
 EVENT_ORDER = {"removed": 1, "created": 2, "changed": 3}
 
 
+def numbered(rows: DataFrame, order: Sequence[str], name: str, after: int = 0) -> DataFrame:
+    """Number all rows in order, following ``after`` without gaps: within ranges, each from where the one before it ends."""
+    ranges = cut(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()))
+    counts = ranges.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).select("_range", "_before")
+    number = F.row_number().over(W.partitionBy("_range").orderBy(*order))
+    return ranges.join(before, "_range").withColumn(name, F.lit(after) + F.col("_before") + number).drop("_range", "_before")
+
+
 def outbox_events(pairs: DataFrame, run: str, after: int = 0) -> DataFrame:
     """Change events in feed order, ``seq`` following ``after`` without gaps, the publication itself last.
 
-    The sequence is total by contract, so it comes from one ordered window over the changed units of one publication.
+    The sequence is total by contract; it is counted range by range.
     """
     rank = F.coalesce(*[F.when(F.col("change") == name, F.lit(n)) for name, n in EVENT_ORDER.items()])
     changed = pairs.where(F.col("change").isin(*EVENT_ORDER)).select(
         rank.alias("rank"), F.concat(F.lit("unit."), F.when(F.col("change") == "changed", "projection_changed").otherwise(F.col("change"))).alias("event"), F.coalesce("new_id", "old_id").alias("unit_id")
     )
     published = pairs.sparkSession.range(1).select(F.lit(9).alias("rank"), F.lit("run.published").alias("event"), F.lit(None).cast(changed.schema["unit_id"].dataType).alias("unit_id"))
-    ordered = W.orderBy("rank", "unit_id")
-    events = changed.unionByName(published).withColumn("seq", F.lit(after) + F.row_number().over(ordered))
-    return events.select("seq", F.lit(run).alias("run_id"), "event", "unit_id")
+    return numbered(changed.unionByName(published), ["rank", "unit_id"], "seq", after).select("seq", F.lit(run).alias("run_id"), "event", "unit_id")
 
 
 def without(rows: DataFrame, others: DataFrame, on: Sequence[str] | Column) -> DataFrame:

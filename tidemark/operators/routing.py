@@ -63,7 +63,3 @@ def route_report(routed: DataFrame, expected: DataFrame) -> DataFrame:
 def adjudicable(scored: DataFrame) -> DataFrame:
     """Units that a model could decide: two candidates or more and none locked. Without a model they abstain."""
     return scored.groupBy("unit_id").agg(F.count("*").alias("n"), F.max("score").alias("top")).where((F.col("n") >= 2) & (F.col("top") < UNSCOPED_EXACT)).select("unit_id")
-
-
-def score_of(column: str) -> Column:
-    return F.coalesce(F.col(column), F.lit(0))

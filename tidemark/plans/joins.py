@@ -153,7 +153,7 @@ def d34(spark: SparkSession, sf_dir: str) -> DataFrame:
     DIFF + """, e AS (
       SELECT CASE change WHEN 'removed' THEN 1 WHEN 'created' THEN 2 ELSE 3 END AS rank, 'unit.' || CASE change WHEN 'changed' THEN 'projection_changed' ELSE change END AS event, coalesce(new_id, old_id) AS unit_id
       FROM pairs WHERE change <> 'unchanged' UNION ALL SELECT 9, 'run.published', NULL)
-    SELECT (100 + row_number() OVER (ORDER BY rank, unit_id))::INTEGER AS seq, 'run-1' AS run_id, event, unit_id FROM e""",
+    SELECT (100 + row_number() OVER (ORDER BY rank, unit_id))::BIGINT AS seq, 'run-1' AS run_id, event, unit_id FROM e""",
 )
 def d35(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relations.outbox_events(_pairs(spark, sf_dir), "run-1", 100)

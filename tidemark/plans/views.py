@@ -7,8 +7,10 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import intake, publication, views
+from tidemark.functions import python_side as py
+from tidemark.operators import filters, intake, publication, queues, views
 from tidemark.plans.catalog import query, table
+from tidemark.sources import readers
 
 # The private tables, said once in SQL for both engines' oracles.
 PRIVATE = """
@@ -202,3 +204,42 @@ def d33(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = units.drop("hash_error").withColumn("order_index", F.when(kind == 0, F.col("order_index") + 1).otherwise(F.col("order_index")))
     stored = stored.withColumn("content_hash", F.when(F.col("asset_id") % 50 == 7, "sha256:1").otherwise(F.col("content_hash")))
     return publication.run_violations(runs, stored)
+
+
+@query("f23_key_list", "SELECT event_id FROM events WHERE event_type IN ('click', 'purchase')")
+def f23(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").where(F.col("event_type").isin(*filters.key_list("click, purchase,click"))).select("event_id")
+
+
+@query(
+    "f15_scope",
+    """
+    SELECT o_orderkey FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AND NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity > 45)
+      AND o_orderkey NOT IN (SELECT event_id FROM events WHERE event_type = 'error')
+    """,
+)
+def f15(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    noise = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("event_id").alias("o_orderkey"))
+    return queues.scope(table(spark, sf_dir, "orders").select("o_orderkey"), lines.where("l_returnflag = 'R'"), lines.where("l_quantity > 45"), noise, "o_orderkey")
+
+
+@query(
+    "s03_two_channels",
+    "SELECT o_orderkey, o_orderpriority, NULL::DOUBLE AS o_totalprice, 'main' AS channel FROM orders WHERE o_orderstatus <> 'P' UNION ALL SELECT o_orderkey, NULL, o_totalprice, 'extra' FROM orders WHERE o_totalprice > 100000",
+)
+def s03(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = table(spark, sf_dir, "orders")
+    return readers.combined(orders.where("o_orderstatus <> 'P'").select("o_orderkey", "o_orderpriority"), orders.where("o_totalprice > 100000").select("o_orderkey", "o_totalprice"), ("main", "extra"))
+
+
+@query(
+    "fn_chinese_ordinal",
+    """
+    WITH w(k, value) AS (VALUES (0, 10), (1, 23), (2, 105), (3, NULL), (4, 2), (5, 30000), (6, 102003), (7, NULL), (8, 7), (9, NULL))
+    SELECT event_id, w.value AS value FROM events JOIN w ON w.k = event_id % 10
+    """,
+)
+def fn_chinese_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = F.array(*map(F.lit, ["十", "二十三", "一百零五", "零", "一二", "三万", "十万零两千〇三", "第五", "7", ""]))
+    return table(spark, sf_dir, "events").select("event_id", py.chinese_ordinal(F.get(said, F.col("event_id") % 10)).alias("value"))
