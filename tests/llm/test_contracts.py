@@ -83,6 +83,7 @@ def test_kept_follows_base_and_rules(spark, awkward):
 
 def test_buckets_follow_the_rows(spark, monkeypatch):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(mixing, "LEAST_DIGITS", 1)
     rows = [(i % 400, "ab"[i % 7 == 0], i % 13, "x", 1.5, 2) for i in range(900)]
     frame = spark.createDataFrame(rows, "doc_id long, source string, size long, target string, whole double, _end int")
     out = mixing.mix_sources(frame)

@@ -13,6 +13,9 @@ from tidemark.llm.shared import cut, set_aside
 #: Rows of a hash bucket, about; a source's sample ends in one of its buckets, whose rows are sorted together.
 BUCKET_ROWS = 20_000
 
+#: Hexadecimal digits of a row's hash that make a bucket, at least.
+LEAST_DIGITS = 3
+
 #: Sources that may be broadcast.
 MOST_BROADCAST_SOURCES = 100_000
 
@@ -60,7 +63,7 @@ def mix_sources(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epoc
     """
     sized, restored = set_aside(sized, ["doc_id", "source", "size"], ["source_size", "target", "repeats", "taken"])
     sized = cut(sized.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))))
-    digits = max(1, math.ceil(math.log(max(1, sized.count() / BUCKET_ROWS), 16)))
+    digits = max(LEAST_DIGITS, math.ceil(math.log(max(1, sized.count() / BUCKET_ROWS), 16)))
     sized = sized.withColumn("_bucket", F.substring("_hash", 1, digits))
     buckets = cut(sized.groupBy("source", "_bucket").agg(F.sum("size").alias("words")))
     targets = source_targets(buckets.groupBy("source").agg(F.sum("words").alias("source_size")), weights, max_epochs)
