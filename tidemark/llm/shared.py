@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import cut, ensure_checkpoint_dir
 
-__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "map_rows", "release", "few", "set_aside", "unused", "WORD"]
+__all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "map_rows", "delete_folder", "release", "few", "set_aside", "unused", "WORD"]
 
 #: A word is a maximal run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -57,6 +57,12 @@ def freed(stage: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterato
     return run
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system that Spark writes to."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 #: Arrow types of the columns that ``map_rows`` adds.
 ARROW = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<struct<start: int, end: int>>": pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))}
 
