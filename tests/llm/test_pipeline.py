@@ -43,5 +43,34 @@ def test_stages_take_effect(spark, corpus):
     assert 300 not in kept and 200 in kept and not {201, 202, 203, 204} & kept and {301, 302} <= kept
     mixed = p.mix(spark, docs, corpus)
     assert mixed.columns == p.COLUMNS and mixed.count() > 0
-    out = p.run(spark, corpus)
-    assert out.count() > 0 and {"doc_id", "sequence_id", "offset"} <= set(out.columns)
+
+
+def test_a_row_goes_by_its_own_text(spark, corpus):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    long_texts = {r["doc_id"]: r["text"] for r in docs.where("doc_id in (0, 1, 200)").collect()}
+    rows = [(7, long_texts[0], "en", "s", 1), (9, long_texts[0] + " more", "en", "s", 1), (9, long_texts[200], "en", "s", 1), (-3, long_texts[1], "en", "s", 1), (2, long_texts[1], "en", "s", 1), (None, long_texts[1], "en", "s", 1), (9, None, "en", "s", 1)]
+    out = p.near_duplicates(spark, spark.createDataFrame(rows, docs.schema), corpus).collect()
+    assert sorted((str(r["doc_id"]), r["text"] or "") for r in out) == sorted((str(r[0]), r[1] or "") for r in (rows[0], rows[2], rows[3], rows[5], rows[6]))
+
+
+def test_the_run_is_the_stages_in_turn_and_packs_every_token(spark, corpus):
+    import corpus_pipeline as p
+    from tokenizers import Tokenizer
+
+    from tidemark.llm.queries import tokenizer_path
+
+    docs = spark.read.parquet(f"{corpus}/documents.parquet")
+    for _, stage in p.STAGES[:-1]:
+        docs = stage(spark, docs, corpus).cache()
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    wanted = sorted((str(r["doc_id"]), len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids) + 1) for r in docs.collect())
+    out = p.run(spark, corpus).collect()
+    assert sorted((str(r["doc_id"]), r["doc_tokens"]) for r in out if r["start"] == 0) == wanted
+    assert sum(r["length"] for r in out) == sum(n for _, n in wanted)
+    used = {}
+    for r in sorted(out, key=lambda r: (r["sequence_id"], r["offset"])):
+        assert r["offset"] == used.get(r["sequence_id"], 0)
+        used[r["sequence_id"]] = r["offset"] + r["length"]
+    assert max(used.values()) <= 2048 and all(n == 2048 or n & (n - 1) == 0 for n in used.values())
