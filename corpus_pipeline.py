@@ -13,7 +13,7 @@ from tidemark.llm.mixing import mix_sources
 from tidemark.llm.packing import pack_sequences
 from tidemark.llm.quality import decision_column, fit_quality_rules, text_statistics, with_ratios
 from tidemark.llm.queries import LINE_EDITS, LINE_NEAR_CHARS, tokenizer_path
-from tidemark.llm.shared import cut, ensure_checkpoint_dir, keep_ids, table, word_count
+from tidemark.llm.shared import cut, delete_folder, ensure_checkpoint_dir, few, keep_ids, release, table, word_count
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -42,11 +42,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that near-duplicate links connect, the one of least doc_id."""
-    components = jaccard_components(docs, NEAR_WORDS, NEAR_PERCENT, 100)
-    losers = cut(components.where("component_id < doc_id").select("doc_id").distinct())
-    n = losers.count()
-    return docs.select(*COLUMNS).join(F.broadcast(losers) if n <= 500_000 else losers, "doc_id", "left_anti").select(*COLUMNS)
+    """Of documents that near-duplicate links connect, the one of least doc_id.
+
+    Rows are told apart by doc_id and text, so a row goes by its own text only; rows equal in both are one document, and stay or go
+    together, as do rows without a doc_id, which stay.
+    """
+    # Text that sorts like the id: its hexadecimal digits with the sign turned.
+    order = F.lpad(F.hex(F.col("doc_id").bitwiseXOR(F.lit(-(2**63)))), 16, "0")
+    named = docs.select(*COLUMNS, F.concat(order, F.lit(":"), F.hex(F.xxhash64("text"))).alias("_row"))
+    components = jaccard_components(named.select(F.col("_row").alias("doc_id"), "text"), NEAR_WORDS, NEAR_PERCENT, 100)
+    losers = cut(components.where("component_id < doc_id").select(F.col("doc_id").alias("_row")).distinct())
+    side = F.broadcast(losers) if few(losers, losers.count()) else losers
+    return named.join(side, "_row", "left_anti").select(*COLUMNS)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -67,11 +74,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is written to the shared folder and read again."""
+    """Apply the stages to ``documents``; each result is written to the shared folder and read again.
+
+    A stage's folder goes when the next one's is written; the last stays, because the result reads it.
+    """
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            delete_folder(spark, before)
+        before = f"{folder}/{name}"
+        release(spark)
     return docs
