@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The form of a semantic key, and how many a request may name: fixed values of the data model.
-KEY_FORM, MOST_KEYS, MOST_PATTERN_CHARS = r"[a-z][a-z0-9_]{0,127}", 50, 100
+KEY_FORM, MOST_KEYS, MOST_PATTERN_CHARS = r"^[a-z][a-z0-9_]{0,127}(?![\s\S])", 50, 100
 
 
 def where_equal(rows: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.operators.filters import KEY_FORM
@@ -62,3 +63,24 @@ def bad_retry_errors(rows: DataFrame, error: str) -> DataFrame:
     parsed = F.try_parse_json(error)
     stage, retryable = F.try_variant_get(parsed, "$.stage", "string"), F.try_variant_get(parsed, "$.retryable", "boolean")
     return failing(rows, stage.isNotNull() & retryable.isNotNull())
+
+
+def bad_section_keys(rows: DataFrame, array: str) -> DataFrame:
+    """Section keys may be absent, but not an empty list, nor have a blank or repeated key."""
+    fits = (F.size(array) > 0) & F.forall(array, lambda k: F.coalesce(F.trim(k) != "", F.lit(False))) & (F.size(F.array_distinct(array)) == F.size(array))
+    return failing(rows, F.col(array).isNull() | F.coalesce(fits, F.lit(False)))
+
+
+def partition_violations(members: DataFrame, owned: DataFrame, group: str, member: str) -> DataFrame:
+    """(group, member, reason) where owners do not partition a group's members in order.
+
+    ``members`` has group, member and place; ``owned`` has group, owner, place and member. Each member needs one owner (missing, repeated),
+    each owned item must be a member (unknown), and read by owner and place, members must come in their own order (out_of_order).
+    """
+    known = members.select(group, member, F.col("place").alias("_place"))
+    missing = known.join(owned.select(group, member), [group, member], "left_anti").select(group, member, F.lit("missing").alias("reason"))
+    placed = owned.select(group, member, "owner", "place").join(known, [group, member], "left")
+    before = F.max("_place").over(W.partitionBy(group).orderBy("owner", "place", "_place").rowsBetween(W.unboundedPreceding, -1))
+    counted = placed.withColumns({"_n": F.count("*").over(W.partitionBy(group, member)), "_before": before})
+    reason = F.when(F.col("_place").isNull(), "unknown").when(F.col("_n") > 1, "repeated").when(F.col("_place") < F.col("_before"), "out_of_order")
+    return counted.select(group, member, reason.alias("reason")).where("reason is not null").distinct().union(missing)

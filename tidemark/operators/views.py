@@ -32,6 +32,18 @@ def filing_type() -> Column:
     return F.coalesce(F.col("d.class_filing_type"), F.lit("other"))
 
 
+ASSET_OWN = (
+    "asset_id", "asset_kind", "payload_kind", "contract_version", "content_hash", "subject_candidates", "title", "semantic_key", "material_type", "event_time", "published_at", "report_period", "observed_at",
+    "provider", "adapter", "tool", "source_tier", "trace_level", "locator", "raw_asset_ref", "sensitivity", "payload", "quality_status", "is_active", "superseded_by",
+)
+
+
+def assets_view(assets: DataFrame) -> DataFrame:
+    """Registered assets with their address; columns that are not named here stay private."""
+    uri = F.concat(F.lit("asset://asset_intake/v1/"), "a.asset_kind", F.lit("/"), F.col("a.asset_id").cast("string"))
+    return assets.alias("a").select(*of("a", ASSET_OWN), uri.alias("asset_uri"), F.col("a.source_access_id").alias("source_ref"), F.col("a.processing_run_id").alias("producer_action_ref"))
+
+
 def documents_view(documents: DataFrame, securities: DataFrame) -> DataFrame:
     """Documents with their security and the newest document that supersedes each; one row a document, security or not."""
     later = documents.where("supersedes_document_id is not null").groupBy(F.col("supersedes_document_id").alias("_old"))

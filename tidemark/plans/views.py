@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import python_side as py
-from tidemark.operators import filters, intake, publication, queues, views
+from tidemark.operators import filters, intake, publication, queues, validation, views
 from tidemark.plans.catalog import query, table
 from tidemark.sources import readers
 
@@ -243,3 +243,47 @@ def s03(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fn_chinese_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = F.array(*map(F.lit, ["十", "二十三", "一百零五", "零", "一二", "三万", "十万零两千〇三", "第五", "7", ""]))
     return table(spark, sf_dir, "events").select("event_id", py.chinese_ordinal(F.get(said, F.col("event_id") % 10)).alias("value"))
+
+
+@query(
+    "p09_assets_view",
+    "SELECT p_partkey AS asset_id, p_brand AS asset_kind, p_name AS title, p_size AS source_ref, p_partkey + 1 AS producer_action_ref, 'asset://asset_intake/v1/' || p_brand || '/' || p_partkey AS asset_uri FROM part",
+)
+def p09(spark: SparkSession, sf_dir: str) -> DataFrame:
+    known = {"asset_id": "p_partkey", "asset_kind": "p_brand", "title": "p_name"}
+    assets = table(spark, sf_dir, "part").select(*[F.expr(known.get(c, "cast(null as string)")).alias(c) for c in views.ASSET_OWN], F.col("p_size").alias("source_access_id"), (F.col("p_partkey") + 1).alias("processing_run_id"), F.col("p_retailprice").alias("private"))
+    return views.assets_view(assets).select(*known, "source_ref", "producer_action_ref", "asset_uri")
+
+
+@query(
+    "v05_section_keys",
+    "SELECT o_custkey FROM orders GROUP BY o_custkey HAVING (count(*) % 4 = 0 AND count(DISTINCT o_orderstatus) < count(*)) OR count(*) % 4 = 1 OR (count(*) % 4 = 2)",
+)
+def v05(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.collect_list("o_orderstatus").alias("all"), F.collect_set("o_orderstatus").alias("set"))
+    n = F.size("all") % 4
+    keys = F.when(n == 0, F.col("all")).when(n == 1, F.array().cast("array<string>")).when(n == 2, F.concat("set", F.array(F.lit(" ")))).when(F.size("all") % 8 == 3, F.col("set"))
+    return validation.bad_section_keys(held.withColumn("section_keys", keys), "section_keys").select("o_custkey")
+
+
+@query(
+    "v11_partition",
+    """
+    WITH m AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS place FROM events),
+    o AS (SELECT user_id, event_id, place // 5 AS owner, CASE WHEN event_id % 40 = 0 THEN place - 2 ELSE place END AS place FROM m WHERE event_id % 50 <> 0
+      UNION ALL SELECT user_id, event_id, place // 5, place FROM m WHERE event_id % 60 = 1 UNION ALL SELECT user_id, -event_id, 1000000, 1 FROM m WHERE event_id % 70 = 1),
+    j AS (SELECT coalesce(o.user_id, m.user_id) AS user_id, coalesce(o.event_id, m.event_id) AS event_id, o.owner, o.place, m.place AS mp, o.event_id IS NOT NULL AS owned FROM o FULL JOIN m ON m.user_id = o.user_id AND m.event_id = o.event_id),
+    w AS (SELECT *, count(*) FILTER (owned) OVER (PARTITION BY user_id, event_id) AS n, max(mp) OVER (PARTITION BY user_id ORDER BY owner NULLS FIRST, place NULLS FIRST, mp ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS b FROM j WHERE owned)
+    SELECT DISTINCT user_id, event_id, CASE WHEN mp IS NULL THEN 'unknown' WHEN n > 1 THEN 'repeated' WHEN mp < b THEN 'out_of_order' END AS reason FROM w WHERE mp IS NULL OR n > 1 OR mp < b
+    UNION ALL SELECT user_id, event_id, 'missing' FROM j WHERE NOT owned
+    """,
+)
+def v11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import Window as W
+
+    members = table(spark, sf_dir, "events").select("user_id", "event_id", F.row_number().over(W.partitionBy("user_id").orderBy("event_id")).alias("place"))
+    owner = F.floor(F.col("place") / 5).alias("owner")
+    kept = members.where("event_id % 50 <> 0").select("user_id", "event_id", owner, F.when(F.col("event_id") % 40 == 0, F.col("place") - 2).otherwise(F.col("place")).alias("place"))
+    again = members.where("event_id % 60 = 1").select("user_id", "event_id", owner, "place")
+    strange = members.where("event_id % 70 = 1").select("user_id", (-F.col("event_id")).alias("event_id"), F.lit(1000000).cast("long").alias("owner"), F.lit(1).alias("place"))
+    return validation.partition_violations(members, kept.union(again).union(strange), "user_id", "event_id")
