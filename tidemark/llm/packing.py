@@ -10,7 +10,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.llm.shared import cut, freed, number_rows, python_rows
 

@@ -100,7 +100,7 @@ def word_count(text: Column) -> Column:
     return F.when(blank, F.size(pieces)).otherwise(F.lit(0)).cast("long")
 
 
-def number_rows(rows: DataFrame, group: list[str], order: list[str], name: str, n_rows: int, per_bucket: int = 20_000) -> DataFrame:
+def number_rows(rows: DataFrame, group: list[str], order: list[str], name: str, n_rows: int, per_bucket: int = 4_000) -> DataFrame:
     """Number the rows of each group from 0 without gaps, in buckets of about ``per_bucket`` rows.
 
     A hash of the order columns deals a group's rows over buckets, counts per bucket become each bucket's first
