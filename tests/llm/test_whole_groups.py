@@ -38,6 +38,31 @@ def test_lines_within_the_edit_bound_go_and_one_beyond_stays(spark, monkeypatch,
     assert {r["doc_id"] for r in out if r["n_removed"]} == {i for i, d in enumerate(far) if d <= max_edits}
 
 
+@pytest.mark.parametrize("max_edits, before, after", [(1, 26, 34), (2, 15, 15), (2, 50, 50)])
+def test_lines_of_one_crowded_frame_are_not_compared_pair_by_pair(spark, monkeypatch, max_edits, before, after):
+    limit, met, rounds = 4, [], []
+    for name in ("LONG_LIST", "LONG_FINE_LIST"):
+        monkeypatch.setattr(linededup, name, limit, raising=False)
+    alike, opened = linededup._alike, getattr(linededup, "_open_items", None)
+
+    def watched(later, members, edits):
+        met.extend(r["count"] for r in members.groupBy("_key").count().collect())
+        return alike(later, members, edits)
+
+    monkeypatch.setattr(linededup, "_alike", watched)
+    monkeypatch.setattr(linededup, "_open_items", lambda *a: rounds.append(a[-1]) or opened(*a), raising=False)
+    rng = random.Random(before)
+    head, tail = ("".join(rng.choice("abcdefghij klmnop") for _ in range(n)) for n in (before, after))
+    lines = [f"{head}{''.join(rng.choice('qrstuvwx') for _ in range(5))}{tail}" for _ in range(24)]
+    lines = list(dict.fromkeys(lines + [edited(rng, rng.choice(lines), 1 + k % 3) for k in range(14)]))
+    rng.shuffle(lines)
+    near = [any(edit_distance(a, b) <= max_edits for b in lines[:i]) for i, a in enumerate(lines)]
+    assert 4 <= sum(near) <= len(lines) - 20
+    out = linededup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), max_edits).collect()
+    assert {r["doc_id"] for r in out if r["n_removed"]} == {i for i, gone in enumerate(near) if gone}
+    assert max(met, default=0) <= limit and rounds
+
+
 def test_lines_of_rows_that_share_an_id_and_of_clashing_columns(spark):
     rows = [(1, "common line\nx"), (2, "common line\nrow A"), (2, "UNIQUE LINE\nrow B"), (2, "common line\nrow A"), (None, "common line"), (3, None), (4, ""), (5, "UNIQUE LINE\n\nnew one")]
     names = "_removed string, kept string, n_lines int, n_removed string, _copy string, line string, counts int"

@@ -13,6 +13,9 @@ from tidemark.llm.shared import attach, attach_lists, cut, unused
 #: Lines with a key in common that are compared with each other; more are keyed again by finer parts.
 LONG_LIST = 64
 
+#: The same for keys of finer parts, whose lines are compared by few numbers; what more lines have open is keyed in turn.
+LONG_FINE_LIST = 1024
+
 #: Letters whose numbers tell lines apart before their edit distance is measured: one edit changes two of these numbers by one at most.
 LETTERS = ["e ", "t,", "a.", "oz", "nk", "iv", "sj", "rx", "hbq", "lpy", "dgw", "ucmf"]
 
@@ -72,31 +75,92 @@ def _part_keys(wide: str, length: str, max_edits: int) -> list[Column]:
 #: Columns of a line's letter counts.
 COUNTS = [f"_c{k}" for k in range(len(LETTERS))]
 
+#: Columns of its parities.
+SKETCHES = ["_s1", "_s2"]
+
 
 def _letter_counts(line: str) -> dict[str, Column]:
     """How often each group of ``LETTERS`` occurs in a line."""
     return {name: (F.length(line) - F.length(F.translate(line, letters, ""))).cast("int") for name, letters in zip(COUNTS, LETTERS)}
 
 
-def _fine_keys(wide: str, length: str, max_edits: int, n_parts: int) -> Column:
-    """The same by more parts, all but ``max_edits`` of which agree; one expression over a list, as there are many."""
-    runs = ", ".join(f"named_struct('gap', {gap}, 'runs', array({', '.join(f'array({b}, {e}, {s})' for b, e, s in runs)}))" for gap, runs in _part_runs(max_edits, n_parts))
-    start, end = f"({length} - k.gap) * r[0] div {n_parts}", f"({length} - k.gap) * r[1] div {n_parts}"
-    piece = f"xxhash64(r[0], r[1], substring({wide}, int(4 * ({start} + r[2]) + 1), int(4 * ({end} - {start}))))"
-    return F.expr(f"array_distinct(transform(array({runs}), k -> xxhash64({length} - k.gap, transform(k.runs, r -> {piece}))))")
+def _sketches(wide: str) -> dict[str, Column]:
+    """Parities of a line's characters, and of its pairs of neighbours, by hash: one edit turns two bits of the first and four of the second at most."""
+    bits = "aggregate(transform(sequence(0, int(length({0}) div 4) - 1), i -> shiftleft(1L, int(pmod(xxhash64(substring({0}, 4 * i + 1, {1})), 64L)))), 0L, (all, bit) -> all ^ bit)"
+    return {name: F.expr(bits.format(wide, 4 * n)) for n, name in enumerate(SKETCHES, 1)}
+
+
+#: Four bytes that are no character in UTF-32: what stands between the open pieces of a text (with the round), and for an edited character.
+SEPARATOR, EDITED = "X'7F{:06X}'", "X'7FFFFFFF'"
+
+
+def _fine_keys(max_edits: int, n_parts: int) -> tuple[str, str]:
+    """SQL for the list of ways (gap, runs) in which an item (_group, _wide) may agree with another outside ``max_edits`` of its parts, and for
+    the hash of a way ``k``; one expression over a list, as there are many."""
+    ways = ", ".join(f"named_struct('gap', {gap}, 'runs', array({', '.join(f'array({b}, {e}, {s})' for b, e, s in runs)}))" for gap, runs in _part_runs(max_edits, n_parts))
+    shorter = "(length(_wide) div 4 - k.gap)"
+    start, end = f"{shorter} * r[0] div {n_parts}", f"{shorter} * r[1] div {n_parts}"
+    piece = f"xxhash64(r[0], r[1], substring(_wide, int(4 * ({start} + r[2]) + 1), int(4 * ({end} - {start}))))"
+    return f"array({ways})", f"xxhash64(_group, {shorter}, transform(k.runs, r -> {piece}))"
+
+
+def _keyed(items: DataFrame, max_edits: int, n_parts: int) -> DataFrame:
+    """Lines (_id) with the keys of their items."""
+    ways, key = _fine_keys(max_edits, n_parts)
+    return items.select("_id", F.explode(F.expr(f"array_distinct(transform({ways}, k -> {key}))")).alias("_key"))
+
+
+def _open_items(items: DataFrame, long: DataFrame, max_edits: int, n_parts: int, level: int) -> DataFrame:
+    """What the lists (_id, _key) leave open of the items in them: the pieces around the runs that the key fixes.
+
+    Two lines that agree by a key are as far apart as what it leaves open of them, for one of the keys that a near pair shares. A key
+    may fix the same text by several ways; each gives an item. No alignment has pieces of less than no characters.
+    """
+    ways, key = _fine_keys(max_edits, n_parts)
+    shorter = "(length(_wide) div 4 - k.gap)"
+    begins = f"concat(array(0L), transform(k.runs, r -> {shorter} * r[1] div {n_parts} + r[2]))"
+    ends = f"concat(transform(k.runs, r -> {shorter} * r[0] div {n_parts} + r[2]), array(length(_wide) div 4))"
+    pieces = f"zip_with({begins}, {ends}, (x, y) -> substring(_wide, int(4 * x + 1), int(4 * (y - x))))"
+    whole = f"forall(zip_with({begins}, {ends}, (x, y) -> y >= x), ok -> ok)"
+    found = f"filter({ways}, k -> array_contains(_keys, {key}) and {whole})"
+    opened = f"transform({found}, k -> named_struct('_group', {key}, '_wide', aggregate({pieces}, X'', (all, piece) -> concat(all, piece, {SEPARATOR.format(level)}))))"
+    lists = long.groupBy("_id").agg(F.collect_set("_key").alias("_keys"))
+    return items.join(lists, "_id").select("_id", F.explode(F.expr(f"array_distinct({opened})")).alias("_open")).select("_id", "_open.*").distinct()
+
+
+def _edited_alike(items: DataFrame, max_edits: int) -> DataFrame:
+    """Lines with earlier ones whose items are within ``max_edits``, of each kind the earliest; no line is compared with another.
+
+    An item is given with every choice of characters marked as changed or left out. Two items that become equal with c marks, and x and y
+    characters left out, are within c + x + y edits; so the earliest with any y speaks for all of them. Separators stay, so pieces
+    meet their like.
+    """
+    size, head, tail = "int(length(v.w) div 4)", "substring(v.w, 1, 4 * i)", "substring(v.w, 4 * i + 5)"
+    made = "array(named_struct('w', _wide, 'c', 0, 'x', 0, 'p', 0))"
+    for _ in range(max_edits):
+        marked = f"named_struct('w', concat({head}, {EDITED}, {tail}), 'c', v.c + 1, 'x', v.x, 'p', i + 1)"
+        without = f"named_struct('w', concat({head}, {tail}), 'c', v.c, 'x', v.x + 1, 'p', i)"
+        places = f"filter(sequence(0, {size}), i -> i >= v.p and i < {size} and substring(v.w, 4 * i + 1, 1) <> X'7F')"
+        made = f"flatten(transform({made}, v -> concat(array(v), flatten(transform({places}, i -> array({marked}, {without}))))))"
+    keys = f"array_distinct(transform({made}, v -> named_struct('_key', xxhash64(_group, v.w), '_c', v.c, '_x', v.x)))"
+    variants = items.select("_id", F.explode(F.expr(keys)).alias("_v")).select("_id", "_v.*").distinct()
+    firsts = [F.min(F.when(F.col("_x") == x, F.col("_id"))).alias(f"_first{x}") for x in range(max_edits + 1)]
+    shared = variants.groupBy("_key").agg(F.count("*").alias("_n"), *firsts).where("_n > 1").drop("_n")
+    others = F.array(*[F.when(F.col("_c") + F.col("_x") + x <= max_edits, F.col(f"_first{x}")) for x in range(max_edits + 1)])
+    return variants.join(shared, "_key").select("_id", F.explode(others).alias("_other")).where("_other._at < _id._at").distinct()
 
 
 def _key_names(max_edits: int) -> list[str]:
     return [f"_p{k}" for k in range(len(_part_runs(max_edits, max_edits + 1)))]
 
 
-def _lists(keyed: DataFrame) -> DataFrame:
-    """Lines (_id, _key) whose key another line has too, with the number of lines and the earliest; of keys with the same lines, one."""
+def _lists(keyed: DataFrame, longest: int | None = None) -> DataFrame:
+    """Lines (_id, _key) whose key another line has too, with the number of lines; of keys with the same lines (``longest`` at most), one."""
     one, two = F.bit_xor(F.xxhash64("_id")).alias("_x"), F.bit_xor(F.xxhash64(F.lit(1), "_id")).alias("_y")
     shared = keyed.groupBy("_key").agg(F.count("*").alias("_n"), one, two).where("_n > 1")
-    shared = cut(shared.groupBy("_n", "_x", "_y").agg(F.min("_key").alias("_key")).select("_key", "_n"))
-    members = cut(attach(keyed, shared, "_key", shared.count(), "inner"))
-    return members.join(members.groupBy("_key").agg(F.min("_id").alias("_first")), "_key")
+    own = [] if longest is None else [F.when(F.col("_n") > longest, F.col("_key"))]
+    shared = cut(shared.groupBy("_n", "_x", "_y", *own).agg(F.min("_key").alias("_key")).select("_key", "_n"))
+    return cut(attach(keyed, shared, "_key", shared.count(), "inner"))
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -132,15 +196,19 @@ def _within(a: Column, b: Column, max_edits: int) -> Column:
 
 
 def _alike(later: DataFrame, members: DataFrame, max_edits: int) -> DataFrame:
-    """Lines of ``later`` with the earlier ones of ``members`` that have the same key and nearly the same letters, once each."""
-    other = members.select("_key", F.col("_id").alias("_other"), *[F.col(c).alias(c + "_") for c in COUNTS])
+    """Lines of ``later`` with the earlier ones of ``members`` that have the same key and nearly the same letters (and parities, if given), once each."""
+    sketches = [c for c in SKETCHES if c in members.columns]
+    other = members.select("_key", F.col("_id").alias("_other"), *[F.col(c).alias(c + "_") for c in COUNTS + sketches])
     alike = sum((F.abs(F.col(c) - F.col(c + "_")) for c in COUNTS), F.lit(0)) <= 2 * max_edits
+    for n, c in enumerate(sketches, 1):
+        alike &= F.bit_count(F.col(c).bitwiseXOR(F.col(c + "_"))) <= 2 * n * max_edits
     return later.join(other, (later["_key"] == other["_key"]) & alike & (F.col("_other._at") < F.col("_id._at"))).select("_id", "_other").distinct()
 
 
 def _firsts(members: DataFrame) -> DataFrame:
-    """Lines with the earliest that has the same key."""
-    return members.select("_id", F.col("_first").alias("_other")).where("_other._at < _id._at").distinct()
+    """Lines (_id, _key) with the earliest that has the same key, if it is not the line's own."""
+    firsts = members.groupBy("_key").agg(F.min("_id").alias("_other"))
+    return attach(members, firsts, "_key", firsts.count()).where("_other._at < _id._at").select("_id", "_key", "_other")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, max_edits: int) -> DataFrame:
@@ -153,24 +221,40 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars
     """Keys of distinct lines that are within ``max_edits`` of a line which comes earlier.
 
     Lists of up to ``LONG_LIST`` lines are compared inside the join. The lines of longer ones are held against the earliest; those that it
-    does not settle get keys of more parts, which leave less of a line open.
+    does not settle get keys of more parts, which leave less of a line open. Where more than ``LONG_FINE_LIST`` have such a key, the same is
+    done with what it leaves open, until that is so short that its variants settle it. So a round takes time by lines and keys, not by pairs.
     """
     identity = F.struct("_at", "_k1", "_k2").alias("_id")
     keyed = distinct.where(F.col("_len") >= near_chars).select(identity, F.explode(F.array_distinct(F.array(*_key_names(max_edits)))).alias("_key"))
-    members = cut(_lists(keyed))
+    members = _lists(keyed)
     chosen = cut(members.select("_id").distinct().select("_id", F.col("_id._at.doc_id").alias("doc_id"), F.col("_id._at.line_no").alias("line_no"), F.col("_id._k1").alias("_k1")))
     lines = _lines(docs).withColumn("_k1", F.xxhash64("line"))
     texts = attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"])
     texts = cut(texts.withColumns(_letter_counts("line")))
-    counted = members.join(texts.select("_id", *COUNTS), "_id")
-    short, long = counted.where(F.col("_n") <= LONG_LIST), members.where(F.col("_n") > LONG_LIST)
-    near = cut(_verified(_alike(short, short, max_edits).union(_firsts(long)).distinct(), texts, max_edits))
-    if long.limit(1).count():
+
+    short, long = members.where(F.col("_n") <= LONG_LIST).join(texts.select("_id", *COUNTS), "_id"), members.where(F.col("_n") > LONG_LIST)
+    near = cut(_verified(_alike(short, short, max_edits).union(_firsts(long).select("_id", "_other")).distinct(), texts, max_edits))
+    if not long.limit(1).count():
+        return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
+    crowded = texts.join(long.select("_id").distinct(), "_id", "left_semi").withColumn("_wide", F.encode("line", "UTF-32"))
+    crowded = cut(crowded.select("_id", "_wide", *COUNTS).withColumns(_sketches("_wide")))
+    items = crowded.select("_id", F.lit(0).cast("long").alias("_group"), "_wide")
+    n_parts = (4 if max_edits <= 2 else 2) * (max_edits + 1)
+    for level in itertools.count():
         # A crowded line that has a witness looks for no other, but may be one.
-        parts = _fine_keys("_wide", "_len", max_edits, (4 if max_edits <= 2 else 2) * (max_edits + 1))
-        crowded = texts.join(long.select("_id").distinct(), "_id", "left_semi").withColumns({"_wide": F.encode("line", "UTF-32"), "_len": F.length("line")})
-        finer = cut(_lists(crowded.select("_id", *COUNTS, F.explode(parts).alias("_key"))))
-        near = cut(near.union(_verified(_alike(finer.join(near, "_id", "left_anti"), finer, max_edits), texts, max_edits)).distinct())
+        members = _lists(_keyed(items, max_edits, n_parts).distinct(), LONG_FINE_LIST)
+        short, long = members.where(F.col("_n") <= LONG_FINE_LIST).join(crowded.drop("_wide"), "_id"), members.where(F.col("_n") > LONG_FINE_LIST)
+        pairs = _alike(short.join(near, "_id", "left_anti"), short, max_edits).union(_firsts(long).join(near, "_id", "left_anti").select("_id", "_other"))
+        near = cut(_verified(pairs.distinct(), texts, max_edits).union(near))
+        unsettled = cut(_firsts(long).join(near, "_id", "left_anti").select("_key").distinct())
+        if not (n_unsettled := unsettled.count()):
+            break
+        items = cut(_open_items(items, attach(long, unsettled, "_key", n_unsettled, "left_semi"), max_edits, n_parts, level))
+        tiny = F.length("_wide") <= 4 * (8 + 4 * max_edits)
+        near = cut(_verified(_edited_alike(items.where(tiny), max_edits).join(near, "_id", "left_anti"), texts, max_edits).union(near))
+        items = items.where(~tiny)
+        if not items.limit(1).count():
+            break
     return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
 
 
@@ -187,7 +271,8 @@ def dedup_lines(docs: DataFrame, max_edits: int = 1, near_chars: int = 0) -> Dat
     Variants are lines without some of their parts: of ``max_edits`` + 1 parts of a line, all but one are deleted, and lines are compared if
     what is left of both is equal. Deleting every choice of single characters would make some 54,000 variants of a line of 330 characters.
     Up to ``LONG_LIST`` lines of one variant are compared with each other. Of more, each is held against the earliest and then, if that is
-    not near, against those with which it shares all but ``max_edits`` of four times as many parts (twice, for more than 2 edits).
+    not near, against those with which it shares all but ``max_edits`` of four times as many parts (twice, for more than 2 edits). Where
+    more than ``LONG_FINE_LIST`` do, the parts that differ are cut in turn, and what is left of a few characters gets every variant.
     """
     if not 1 <= max_edits <= 4:
         raise ValueError("max_edits must be from 1 to 4")
