@@ -63,6 +63,23 @@ def test_lines_of_one_crowded_frame_are_not_compared_pair_by_pair(spark, monkeyp
     assert max(met, default=0) <= limit and rounds
 
 
+def test_the_pipeline_bounds_the_lines_that_it_compares(spark, monkeypatch):
+    import corpus_pipeline
+
+    limit, met = 4, []
+    for name in ("LONG_LIST", "LONG_FINE_LIST"):
+        monkeypatch.setattr(linededup, name, limit, raising=False)
+    alike = linededup._alike
+    monkeypatch.setattr(linededup, "_alike", lambda later, members, edits: met.extend(r["count"] for r in members.groupBy("_key").count().collect()) or alike(later, members, edits))
+    rng = random.Random(7)
+    lines = [f"the order of {''.join(rng.choice('qrstuvwx') for _ in range(5))} went out" for _ in range(20)]
+    lines += [line[:-1] + "!" for line in lines[5:9]]
+    gone = {i for i, a in enumerate(lines) if any(edit_distance(a, b) <= 2 for b in lines[:i])}
+    docs = spark.createDataFrame([(i, a, "en", "s", len(a)) for i, a in enumerate(lines)], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {r["doc_id"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()} == set(range(len(lines))) - gone
+    assert 4 <= len(gone) and max(met, default=0) <= limit
+
+
 def test_lines_of_rows_that_share_an_id_and_of_clashing_columns(spark):
     rows = [(1, "common line\nx"), (2, "common line\nrow A"), (2, "UNIQUE LINE\nrow B"), (2, "common line\nrow A"), (None, "common line"), (3, None), (4, ""), (5, "UNIQUE LINE\n\nnew one")]
     names = "_removed string, kept string, n_lines int, n_removed string, _copy string, line string, counts int"
