@@ -63,6 +63,25 @@ def test_lines_of_one_crowded_frame_are_not_compared_pair_by_pair(spark, monkeyp
     assert max(met, default=0) <= limit and rounds
 
 
+def test_rows_of_a_list_get_their_numbers_once(spark, monkeypatch):
+    for name in ("LONG_LIST", "LONG_FINE_LIST"):
+        monkeypatch.setattr(linededup, name, 4)
+    alike, joined = linededup._alike, []
+
+    def watched(later, members, edits):
+        joined.extend("Join Inner" in side._jdf.queryExecution().optimizedPlan().toString() for side in (later, members))
+        return alike(later, members, edits)
+
+    monkeypatch.setattr(linededup, "_alike", watched)
+    rng = random.Random(5)
+    lines = [f"the order of {''.join(rng.choice('qrstuvwx') for _ in range(5))} went out" for _ in range(20)]
+    lines += [line[:-1] + "!" for line in lines[5:9]]
+    gone = {i for i, a in enumerate(lines) if any(edit_distance(a, b) <= 2 for b in lines[:i])}
+    out = linededup.dedup_lines(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), 2).collect()
+    assert {r["doc_id"] for r in out if r["n_removed"]} == gone and len(gone) >= 4
+    assert len(joined) >= 4 and not any(joined)
+
+
 def test_the_pipeline_bounds_the_lines_that_it_compares(spark, monkeypatch):
     import corpus_pipeline
 

@@ -232,7 +232,8 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars
     texts = attach(lines, chosen, ["doc_id", "line_no", "_k1"], chosen.count(), "inner").select("_id", "line").dropDuplicates(["_id"])
     texts = cut(texts.withColumns(_letter_counts("line")))
 
-    short, long = members.where(F.col("_n") <= LONG_LIST).join(texts.select("_id", *COUNTS), "_id"), members.where(F.col("_n") > LONG_LIST)
+    # Both sides of a comparison read these rows, so they are made once.
+    short, long = cut(members.where(F.col("_n") <= LONG_LIST).join(texts.select("_id", *COUNTS), "_id")), members.where(F.col("_n") > LONG_LIST)
     near = cut(_verified(_alike(short, short, max_edits).union(_firsts(long).select("_id", "_other")).distinct(), texts, max_edits))
     if not long.limit(1).count():
         return near.select("_id._k1", "_id._k2").distinct().withColumn("_is_near", F.lit(True))
@@ -243,7 +244,7 @@ def _near_lines(distinct: DataFrame, docs: DataFrame, max_edits: int, near_chars
     for level in itertools.count():
         # A crowded line that has a witness looks for no other, but may be one.
         members = _lists(_keyed(items, max_edits, n_parts).distinct(), LONG_FINE_LIST)
-        short, long = members.where(F.col("_n") <= LONG_FINE_LIST).join(crowded.drop("_wide"), "_id"), members.where(F.col("_n") > LONG_FINE_LIST)
+        short, long = cut(members.where(F.col("_n") <= LONG_FINE_LIST).join(crowded.drop("_wide"), "_id")), members.where(F.col("_n") > LONG_FINE_LIST)
         pairs = _alike(short.join(near, "_id", "left_anti"), short, max_edits).union(_firsts(long).join(near, "_id", "left_anti").select("_id", "_other"))
         near = cut(_verified(pairs.distinct(), texts, max_edits).union(near))
         unsettled = cut(_firsts(long).join(near, "_id", "left_anti").select("_key").distinct())
