@@ -104,12 +104,20 @@ def grams(text: Column, n: int) -> Column:
     return F.array_distinct(found)
 
 
-def title_similarity(left: Column, right: Column, shortest: int = 4) -> Column:
-    """0.6 of the coverage of the right's characters plus 0.4 of the bigrams' Dice coefficient; 0 if either is short."""
+#: Characters of the shortest text that is likened to another.
+SHORTEST = 4
+
+
+def blend(one_shared: Column, one_right: Column, two_shared: Column, two_left: Column, two_right: Column) -> Column:
+    """0.6 of the coverage of the right's characters plus 0.4 of the bigrams' Dice coefficient, from numbers of distinct grams."""
+    return 0.6 * (one_shared / one_right) + 0.4 * (2 * two_shared / (two_left + two_right))
+
+
+def title_similarity(left: Column, right: Column, shortest: int = SHORTEST) -> Column:
+    """The blend of coverage and Dice coefficient; 0 if either is short."""
     one_l, one_r, two_l, two_r = grams(left, 1), grams(right, 1), grams(left, 2), grams(right, 2)
-    coverage = F.size(F.array_intersect(one_l, one_r)) / F.size(one_r)
-    dice = 2 * F.size(F.array_intersect(two_l, two_r)) / (F.size(two_l) + F.size(two_r))
-    return F.when((F.length(left) < shortest) | (F.length(right) < shortest), F.lit(0.0)).otherwise(0.6 * coverage + 0.4 * dice)
+    alike = blend(F.size(F.array_intersect(one_l, one_r)), F.size(one_r), F.size(F.array_intersect(two_l, two_r)), F.size(two_l), F.size(two_r))
+    return F.when((F.length(left) < shortest) | (F.length(right) < shortest), F.lit(0.0)).otherwise(alike)
 
 
 NUMBERING = [
