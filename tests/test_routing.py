@@ -3,8 +3,11 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
+from tidemark.functions import text as tx
 from tidemark.operators import routing
+from tidemark.plans import domain
 
 LABELS = [
     ("risk", "The", True, True, True), ("anchor", "and", False, True, False), ("scope", "de la", False, False, False), ("rare", "th onth", False, True, False),
@@ -54,3 +57,19 @@ def test_a_title_is_cut_once_a_source_and_not_once_a_label(scored):
     [unfolded] = [k for k, line in enumerate(plan) if "Generate" in line]
     [join] = [line for line in plan if "Join" in line]
     assert "split" not in join and not any("split(title#" in line for line in plan[:unfolded]) and any("split(title#" in line for line in plan[unfolded:])
+
+
+def test_a_text_is_cut_into_characters_once(spark, scored):
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("split(title#") == 1
+    texts = ["", "a", "ab", "aaa", "é😀é", None]
+    pairs = spark.createDataFrame([(t,) for t in texts], "t string").select("t", tx.grams(F.col("t"), 2))
+    assert [(t, p if p is None else sorted(p)) for t, p in pairs.collect()] == [(t, None if t is None else sorted({t[i : i + 2] for i in range(len(t) - 1)})) for t in texts]
+
+
+def test_sources_are_the_first_line_and_the_rest(spark, tmp_path):
+    texts = ["one", "one\ntwo", "\nall body", "title\n", "\n", "", "\n\nx", "é😀\nü\nz", "a\r\nb", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    sources = domain._sources(spark, str(tmp_path))
+    wanted = [(i, None, None) if t is None else (i, *t.partition("\n")[::2]) for i, t in enumerate(texts)]
+    assert sorted(map(tuple, sources.collect())) == wanted
+    assert "regexp" not in sources._jdf.queryExecution().optimizedPlan().toString()

@@ -98,7 +98,9 @@ def grams(text: Column, n: int) -> Column:
     """Distinct characters (n = 1) or pairs of neighbouring ones (n = 2), in time proportional to the text's length."""
     found = characters(text)
     if n == 2:
-        found = F.array_compact(F.zip_with(found, F.slice(found, F.lit(2), F.greatest(F.size(found), F.lit(1))), lambda x, y: F.concat(x, y)))
+        # The characters are named by a list of one, so that the text is cut once and not wherever they stand.
+        paired = lambda all: F.zip_with(all, F.slice(all, F.lit(2), F.greatest(F.size(all), F.lit(1))), lambda x, y: F.concat(x, y))
+        found = F.array_compact(F.transform(F.array(found), paired)[0])
     elif n != 1:
         raise ValueError("grams of one or two characters only")
     return F.array_distinct(found)

@@ -371,7 +371,8 @@ def _labels(spark: SparkSession) -> DataFrame:
 
 
 def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_id"), F.substring_index("text", "\n", 1).alias("title"), F.regexp_replace("text", r"^[^\n]*\n?", "").alias("body"))
+    title = F.substring_index("text", "\n", 1)
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("unit_id"), title.alias("title"), F.substr("text", F.length(title) + 2).alias("body"))
 
 
 CANDIDATES = """
