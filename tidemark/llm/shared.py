@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 from pyspark.sql import types as T
 
-from tidemark.session import cut, ensure_checkpoint_dir
+from tidemark.session import cut, ensure_checkpoint_dir, python_rows
 
 __all__ = ["cut", "ensure_checkpoint_dir", "table", "word_count", "number_rows", "keep_ids", "attach", "attach_lists", "python_rows", "freed", "map_rows", "delete_folder", "release", "few", "set_aside", "unused", "WORD"]
 
@@ -27,18 +27,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-#: Bytes of an Arrow batch that a Python worker gets, where the session has Spark's default.
-BATCH_BYTES, DEFAULT_BATCH_BYTES = "8m", ("64m", "64MB", "67108864", "67108864b")
-
-
-def python_rows(rows: DataFrame) -> DataFrame:
-    """Rows for a Python stage: batches are bounded in bytes, so a worker's memory doesn't follow the texts' length."""
-    conf = rows.sparkSession.conf
-    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", DEFAULT_BATCH_BYTES[0]) in DEFAULT_BATCH_BYTES:
-        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
-    return rows
-
-
 def freed(stage: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A Python stage that gives memory back when its task ends: workers live on and would keep it from other stages.
 

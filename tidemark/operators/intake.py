@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions import python_side as py
+from tidemark.session import python_rows
 
 
 def canonical_row(columns: Sequence[str]) -> Column:
@@ -44,7 +45,7 @@ def unit_hashes(units: DataFrame) -> DataFrame:
     semantic_keys, section_keys and applicability where there are any. ``hash_error`` says why a unit has no hashes.
     """
     known = [c for c in ("payload_kind", "title", "heading_path", "semantic_key", "semantic_keys", "section_keys", "quality_status", "applicability", "order_index") if c in units.columns]
-    found = units.withColumn("_identity", py.unit_identities(F.to_json(F.struct(*known), {"ignoreNullFields": "false"}), F.col("payload")))
+    found = python_rows(units).withColumn("_identity", py.unit_identities(F.to_json(F.struct(*known), {"ignoreNullFields": "false"}), F.col("payload")))
     return found.select("*", "_identity.content_hash", "_identity.query_projection_hash", "_identity.structure_hash", F.col("_identity.error").alias("hash_error")).drop("_identity")
 
 

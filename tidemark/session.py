@@ -1,4 +1,4 @@
-"""Session defaults and the shared checkpoint folder."""
+"""Session defaults, the shared checkpoint folder and the size of a Python worker's batches."""
 
 from __future__ import annotations
 
@@ -27,6 +27,18 @@ def local_session(cpus: int | str = "*", name: str = "tidemark", **conf: str) ->
     return spark
 
 
+#: Bytes of an Arrow batch that a Python worker gets, where the session has Spark's default.
+BATCH_BYTES, DEFAULT_BATCH_BYTES = "8m", ("64m", "64MB", "67108864", "67108864b")
+
+
+def python_rows(rows: DataFrame) -> DataFrame:
+    """Rows for a Python stage: batches are bounded in bytes, so a worker's memory doesn't follow the texts' length."""
+    conf = rows.sparkSession.conf
+    if conf.get("spark.sql.execution.arrow.maxBytesPerBatch", DEFAULT_BATCH_BYTES[0]) in DEFAULT_BATCH_BYTES:
+        conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return rows
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder in spark.checkpoint.dir; only where it is unset (tests), make one."""
     context = spark.sparkContext
